@@ -6,15 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import language_id, secret_scan
+from leafmill.llm import language_id, license_scan, packing, secret_scan, sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_license_scan": license_scan.op2,
+        "op7_shard_ring": sharding.op7,
         "op8_secret_scan": secret_scan.op8,
+        "op9_length_buckets": packing.op9,
         "op10_language_id": language_id.op10,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_license_scan": license_scan.OP2_SQL,
+    }
