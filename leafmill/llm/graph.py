@@ -1,0 +1,37 @@
+"""Connected components of an edge table, without collecting it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from leafmill.llm.common import materialize
+
+
+def _state(edges: DataFrame) -> tuple[int, int]:
+    r = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)")).alias("h")).first()
+    return r["n"], r["h"]
+
+
+def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """(node, component): component is the least node that is connected with node. Nodes without edges are absent.
+
+    Alternates large-star and small-star rounds, each two aggregations and joins, until nothing changes; the number
+    of rounds grows with the logarithm of the longest path. Every round is a written table.
+    """
+    edges = edges.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct()
+    edges = materialize(edges)
+    before = _state(edges)
+    while True:
+        both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.join(least, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        least = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        small = large.join(least, "hi").select("hi", "lo", "m")
+        edges = materialize(small.select("hi", F.col("m").alias("lo")).unionAll(small.select(F.col("lo").alias("hi"), F.col("m").alias("lo"))).filter(F.col("hi") != F.col("lo")).distinct())
+        now = _state(edges)
+        if now == before:
+            break
+        before = now
+    roots = edges.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
+    return edges.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionAll(roots)
