@@ -78,16 +78,19 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang", sample_per_lan
     if training is not None:
         rows = rows.filter(training)
     rows = rows.select("doc_id", F.col(label).alias("label"), F.col(text).alias("body"))
-    order = W.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.select("label", "doc_id").filter(F.col("doc_id").isNotNull()).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= sample_per_language)
-    chosen = chosen.select("doc_id", "label").distinct()
+    # a hash threshold keeps about twice the bound of each label before rows are ranked, so the ranked rows are few too
+    known = rows.filter(F.col("doc_id").isNotNull()).withColumn("draw", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / (1 << 40))
+    rates = [(r["label"], 2.0 * sample_per_language / r["count"]) for r in known.groupBy("label").count().collect()]  # one row a label, as the model has
+    few = known.join(F.broadcast(docs.sparkSession.createDataFrame(rates, "label string, rate double")), "label").filter(F.col("draw") < F.col("rate"))
+    order = W.partitionBy("label").orderBy("draw", "doc_id")
+    chosen = few.dropDuplicates(["label", "doc_id"]).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= sample_per_language)
 
     def sparse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
             out = [(lab, np.flatnonzero(c := gram_counts(t, dims)), c[c > 0]) for lab, t in zip(part["label"], part["body"], strict=True)]
             yield pd.DataFrame(out, columns=["label", "at", "n"])
 
-    sample = materialize(rows.join(chosen, ["doc_id", "label"], "left_semi").dropDuplicates(["label", "doc_id"]).select("label", "body").mapInPandas(sparse, "label string, at array<int>, n array<int>"))
+    sample = materialize(chosen.select("label", "body").mapInPandas(sparse, "label string, at array<int>, n array<int>"))
     total = sample.count()
     idf = np.full(dims, np.log(1.0 + total) + 1.0, dtype=np.float32)
     for at, n in sample.select(F.explode("at").alias("at")).groupBy("at").count().collect():  # at most dims rows
