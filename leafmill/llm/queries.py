@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import decontaminate, language_id, license_scan, media_store, near_dedup, packing, secret_scan, sharding
+from leafmill.llm import decontaminate, language_id, license_scan, media_store, near_dedup, packing, pii, secret_scan, sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_license_scan": license_scan.op2,
         "op4_near_dedup": near_dedup.op4,
         "op5_media_store": media_store.op5,
+        "op6_pii": pii.op6,
         "op7_shard_ring": sharding.op7,
         "op8_secret_scan": secret_scan.op8,
         "op9_length_buckets": packing.op9,
