@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import decontaminate, language_id, license_scan, media_store, near_dedup, packing, pii, secret_scan, sharding
+from leafmill.llm import decontaminate, katz, language_id, license_scan, media_store, near_dedup, packing, pii, secret_scan, sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": decontaminate.op1,
         "op2_license_scan": license_scan.op2,
+        "op3_katz": katz.op3,
         "op4_near_dedup": near_dedup.op4,
         "op5_media_store": media_store.op5,
         "op6_pii": pii.op6,
