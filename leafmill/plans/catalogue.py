@@ -471,7 +471,7 @@ def greedy_binding(spark, d):
     from leafmill.operators.binding import greedy_binding as bind
 
     items = _book_items(spark, d)
-    blocks = items.select("doc_id", F.lit("").alias("chapter"), F.col("item_seq").alias("page_index"), F.lit(0).alias("block_order"), F.concat(F.lit("b"), "item_seq").alias("block_id"), F.when(F.col("item_seq") % 3 == 2, "figure").otherwise("text").alias("type"), "text", "tokens", (F.col("item_seq") % 3 == 2).alias("has_image"), F.lit(None).cast("string").alias("attached_to"))
+    blocks = _book_items(spark, d).select("doc_id", F.lit("").alias("chapter"), F.col("item_seq").alias("page_index"), F.lit(0).alias("block_order"), F.concat(F.lit("b"), "item_seq").alias("block_id"), F.when(F.col("item_seq") % 3 == 2, "figure").otherwise("text").alias("type"), "text", "tokens", (F.col("item_seq") % 3 == 2).alias("has_image"), F.lit(None).cast("string").alias("attached_to"))
     return bind(items, blocks)
 
 

@@ -24,11 +24,11 @@ def read_layout(spark: SparkSession, path: str) -> DataFrame:
 
 def layout_blocks(raw: DataFrame) -> DataFrame:
     """raw (doc_id, pages, pdf_info) -> one row a block; a document with neither shape fails the query."""
-    checked = raw.withColumn("_ok", F.when(F.col("pages").isNull() & F.col("pdf_info").isNull(), F.raise_error(F.lit("layout has neither pages nor pdf_info"))).otherwise(F.lit(True))).filter("_ok")
-    plain = checked.filter(F.col("pages").isNotNull()).select("doc_id", F.posexplode("pages").alias("page_pos", "page"))
+    native = F.coalesce("pdf_info", F.raise_error(F.lit("layout has neither pages nor pdf_info")).cast(PDF_INFO))
+    plain = raw.filter(F.col("pages").isNotNull()).select("doc_id", F.posexplode("pages").alias("page_pos", "page"))
     plain = plain.select("doc_id", F.coalesce("page.page_index", "page_pos").alias("page_index"), F.coalesce(F.nullif("page.page_number", F.lit(0)), F.coalesce("page.page_index", "page_pos") + 1).alias("page_number"), F.posexplode("page.blocks").alias("block_order", "b"))
     plain = plain.select("doc_id", "page_index", "page_number", "block_order", F.coalesce(F.nullif("b.block_id", F.lit("")), F.format_string("p%03d-b%03d", "page_index", "block_order")).alias("block_id"), F.coalesce(F.nullif("b.type", F.lit("")), F.lit("paragraph")).alias("type"), "b.level", "b.bbox", "b.text", "b.image_url", "b.asset_id", "b.caption", "b.labels")
-    return plain.unionByName(adapt_native(checked.filter(F.col("pages").isNull())), allowMissingColumns=True)
+    return plain.unionByName(adapt_native(raw.filter(F.col("pages").isNull()).withColumn("pdf_info", native)), allowMissingColumns=True)
 
 
 def adapt_native(raw: DataFrame) -> DataFrame:
@@ -63,8 +63,9 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
     """path, width, height, bytes, magic of image files; width is -1 where Spark cannot decode one."""
     from leafmill.operators.quality import magic_of
 
-    raw = spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("bytes"), magic_of(F.col("content")).alias("magic"))
-    seen = spark.read.format("image").load(path).select(F.col("image.origin").alias("path"), "image.width", "image.height")
+    place = lambda c: F.regexp_replace(c, "^file:/+", "file:/")
+    raw = spark.read.format("binaryFile").load(path).select(place("path").alias("path"), F.col("length").alias("bytes"), magic_of(F.col("content")).alias("magic"))
+    seen = spark.read.format("image").load(path).select(place("image.origin").alias("path"), "image.width", "image.height")
     return raw.join(seen, "path", "left")
 
 
