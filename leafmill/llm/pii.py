@@ -103,10 +103,12 @@ def _near(text: Column, reach: int):
 
     def terms(span: Column) -> Column:
         low = F.greatest(F.lit(0), span["start"] - reach)
-        before = located(F.substring(text, low + 1, span["start"] - low), r"(?<=[^\p{L}\p{N}])\p{L}{2,}+", "term")
-        after = located(F.substring(text, span["end"] + 1, F.lit(reach)), r"\p{L}{2,}+(?=[^\p{L}\p{N}])", "term")
+        # a word is whole where a character (or the text's end) shows it; a space stands for either end of the text
+        first, last = F.when(low == 0, " ").otherwise(""), F.when(span["end"] + reach >= F.length(text), " ").otherwise("")
+        before = located(F.concat(first, F.substring(text, low + 1, span["start"] - low)), r"(?<=[^\p{L}\p{N}])\p{L}{2,}+", "term")
+        after = located(F.concat(F.substring(text, span["end"] + 1, F.lit(reach)), last), r"\p{L}{2,}+(?=[^\p{L}\p{N}])", "term")
         row = lambda base: lambda t: F.struct(_entity(span).alias("entity"), F.lower(t["value"]).alias("term"), (t["start"] + base).alias("start"), (t["end"] + base).alias("end"))
-        return F.concat(F.transform(before, row(low)), F.transform(after, row(span["end"])))
+        return F.concat(F.transform(before, row(low - F.length(first))), F.transform(after, row(span["end"])))
 
     return terms
 
