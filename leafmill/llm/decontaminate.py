@@ -89,7 +89,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", rea
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """docs without the rows whose text overlaps an item."""
     leaks = find_overlaps(docs, benchmark, text, **options).select(F.col("node").alias("_leak")).distinct()
-    return docs.join(leaks, content_key(text) == F.col("_leak"), "left_anti")
+    return docs.join(leaks, content_key(text) == leaks["_leak"], "left_anti")
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:

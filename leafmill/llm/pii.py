@@ -143,19 +143,21 @@ def sanitise(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     rows, terms = find(docs, text, **options)
     spans = rows.groupBy("node").agg(F.first("spans").alias("_spans")).join(terms.withColumnRenamed("terms", "_terms"), "node", "left").withColumnRenamed("node", "_node")
     spans = spans.filter((F.size("_spans") > 0) | F.col("_terms").isNotNull())
-    joined = docs.join(spans, content_key(text) == F.col("_node"), "left")
+    whole = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text).alias("_body"))
+    joined = whole.join(spans, content_key("_body") == F.col("_node"), "left")
     mark = F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("mark")))
     term = F.transform(F.coalesce("_terms", F.array().cast("array<struct<start:int,end:int,action:string>>")), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(s["action"] == "remove", "").otherwise("[TERM]").alias("mark")))
 
     def put(acc: Column, s: Column) -> Column:
         later = s["start"] >= acc["at"]
-        out = F.when(later, F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, s["start"] - acc["at"]), s["mark"])).otherwise(acc["out"])
+        out = F.when(later, F.concat(acc["out"], F.substring(F.col("_body"), acc["at"] + 1, s["start"] - acc["at"]), s["mark"])).otherwise(acc["out"])
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    rest = lambda acc: F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, F.length(text)))
+    rest = lambda acc: F.concat(acc["out"], F.substring(F.col("_body"), acc["at"] + 1, F.length("_body")))
     clean = F.aggregate(F.array_sort(F.concat(mark, term)), start, put, rest)
-    return joined.withColumn(text, F.when(F.col("_node").isNull(), F.col(text)).otherwise(clean)).select(*docs.columns)
+    row = F.col("_row").withField(text, F.when(F.col("_node").isNull(), F.col("_body")).otherwise(clean))
+    return joined.select(row.alias("_row")).select("_row.*")
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
