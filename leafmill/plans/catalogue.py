@@ -232,7 +232,7 @@ def ref_backfill_anti(spark, d):
 @query("SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text)")
 def phrase_in_context(spark, d):
     phrases = table(spark, d, "benchmark").select("item_id", F.col("text").alias("phrase"))
-    return table(spark, d, "documents").join(F.broadcast(phrases), F.contains("text", F.col("phrase"))).select("doc_id", "item_id")
+    return table(spark, d, "documents").join(phrases, F.contains("text", F.col("phrase"))).select("doc_id", "item_id")
 
 
 @query("""

@@ -4,7 +4,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from leafmill.plans import catalogue
+from leafmill.plans import catalogue, catalogue_more  # noqa: F401  the second module adds to the first
 
 DATA = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not DATA.is_dir(), reason="no test tables")
