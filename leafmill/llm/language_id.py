@@ -56,8 +56,12 @@ def _cluster(x: np.ndarray, clusters: int, rounds: int = 12) -> tuple[np.ndarray
     while len(seeds) < min(clusters, len(x)):
         seeds.append(int(np.argmin((x @ x[seeds].T).max(axis=1))))
     c = x[seeds].copy()
-    for _ in range(rounds):
+    for turn in range(2 * rounds):
         own = (x @ c.T).argmax(axis=1)
+        if turn == rounds:  # clusters of a few odd rows (one quoted line, say) do not stand for the language
+            sizes = np.bincount(own, minlength=len(c))
+            c = c[sizes >= min(0.05 * len(x), sizes.max())]
+            own = (x @ c.T).argmax(axis=1)
         for k in range(len(c)):
             if (own == k).any():
                 m = x[own == k].mean(axis=0)
@@ -72,7 +76,7 @@ class Model:
         self.languages, self.centroids, self.limits, self.idf = languages, centroids, limits, idf
 
 
-def fit(docs: DataFrame, text: str = "text", label: str = "lang", sample_per_language: int = 400, clusters: int = 4, dims: int = 8192, slack: float = 0.3, training: Column | None = None) -> Model:
+def fit(docs: DataFrame, text: str = "text", label: str = "lang", sample_per_language: int = 400, clusters: int = 4, dims: int = 8192, slack: float = 0.12, training: Column | None = None) -> Model:
     """Fit on at most sample_per_language rows of each label; `training` says which rows may be used."""
     rows = docs.filter(F.col(label).isNotNull() & F.col(text).rlike("\\p{L}"))
     if training is not None:
