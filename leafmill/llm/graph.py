@@ -8,30 +8,34 @@ from pyspark.sql import functions as F
 from leafmill.llm.common import materialize
 
 
-def _state(edges: DataFrame) -> tuple[int, int]:
-    r = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)")).alias("h")).first()
-    return r["n"], r["h"]
+def relabel(labels: DataFrame, by: DataFrame) -> DataFrame:
+    """labels (node, component) with each component replaced by what `by` (node, component) says of it, if anything."""
+    newer = by.select(F.col("node").alias("component"), F.col("component").alias("_newer"))
+    return labels.join(newer, "component", "left").select("node", F.coalesce("_newer", "component").alias("component"))
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): component is the least node that is connected with node. Nodes without edges are absent.
 
-    Alternates large-star and small-star rounds, each two aggregations and joins, until nothing changes; the number
-    of rounds grows with the logarithm of the longest path. Every round is a written table.
+    Each round points every node at its least neighbour and contracts the edges along the pointers; rounds end when
+    no edge is left (two for a star, about the logarithm of the longest path else). Each round is a written table,
+    and a hub of any size costs one aggregation and joins that can be split.
     """
-    edges = edges.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct()
-    edges = materialize(edges)
-    before = _state(edges)
+    edges = edges.filter(F.col(a) != F.col(b)).select(F.col(a).alias("u"), F.col(b).alias("v")).distinct()
+    levels = []
     while True:
-        both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
-        least = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(least, "hi").select("hi", "lo", "m")
-        edges = materialize(small.select("hi", F.col("m").alias("lo")).unionAll(small.select(F.col("lo").alias("hi"), F.col("m").alias("lo"))).filter(F.col("hi") != F.col("lo")).distinct())
-        now = _state(edges)
-        if now == before:
+        edges = materialize(edges)
+        if edges.isEmpty():
             break
-        before = now
-    roots = edges.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
-    return edges.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionAll(roots)
+        both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        point = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("component")))
+        levels.append(point)
+        at_u = edges.join(point.select(F.col("node").alias("u"), F.col("component").alias("pu")), "u")
+        at_v = at_u.join(point.select(F.col("node").alias("v"), F.col("component").alias("pv")), "v")
+        edges = at_v.filter(F.col("pu") != F.col("pv")).select(F.greatest("pu", "pv").alias("u"), F.least("pu", "pv").alias("v")).distinct()
+    if not levels:
+        return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    found = levels[-1]
+    for point in reversed(levels[:-1]):
+        found = relabel(point, found)
+    return materialize(found) if len(levels) > 1 else found
