@@ -7,8 +7,8 @@ first. A shingle stops as soon as its next arrival is later than every component
 component with the probability Jaccard similarity of the two weighted sets. Bands of `rows` components find
 candidates, and each link is verified on the whole texts by the exact probability Jaccard similarity.
 
-Exact copies are one node from the start. A band's bucket is not paired out: its members are compared with one member
-(a star), verified links are contracted to components, and only buckets whose rest still lies in several components
+Exact copies are one node from the start. A band's bucket is not paired out: its members are compared with the one
+that meets most other members over all bands (a star), verified links are contracted to components, and only buckets whose rest still lies in several components
 go on, with more members as centres each round, until every two members that share a bucket have been compared or
 are connected. There the sketches are compared first, inside the join: a pair whose texts are similar enough fails that
 with a chance under 0.03 %, and only pairs that pass become rows. So no candidate is capped, and a large group of near
@@ -152,14 +152,19 @@ def classes(docs: DataFrame, text: str = "text", size: int = 256, rows: int = 8,
     named = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node")
     nodes = materialize(base.groupBy("node").agg(F.min(named).alias("first"), F.first("bands").alias("bands"), F.first("bytes").alias("bytes")))
     banded = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("b")).filter("n > 1")
-    starred = materialize(banded.join(shared.drop("n"), "bucket"))
+    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    met = materialize(banded.join(shared, "bucket"))
+    # the member that meets most others is the centre: of copies with edits, that is one with few edits of its own
+    central = met.groupBy("node").agg(F.sum("n").alias("weight"))
+    weighed = materialize(met.select("bucket", "node").join(central, "node"))
+    centre = weighed.groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("top"))
+    starred = materialize(weighed.select("bucket", "node").join(centre.select("bucket", F.col("top.node").alias("b")), "bucket"))
     wanted = starred.select("node").distinct().join(nodes.select("node", "first.doc_id"), "node")
     keyed = docs.filter(F.col(text).isNotNull()).select("doc_id", content_key(text).alias("node"), F.col(text).alias("body"))
     same = (keyed["node"] == wanted["node"]) & keyed["doc_id"].eqNullSafe(wanted["doc_id"])
     texts = materialize(keyed.join(wanted, same, "left_semi").groupBy("node").agg(F.first("body").alias("body")))
 
-    pairs = materialize(starred.filter(F.col("node") != F.col("b")).select(F.col("node").alias("a"), "b").distinct())
+    pairs = materialize(starred.filter(F.col("node") != F.col("b")).select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct())
     tested = pairs
     found = components(_verified(pairs, texts, threshold))
     rest, centres = starred.filter(F.col("node") != F.col("b")).select("bucket", "node"), 128
