@@ -179,9 +179,11 @@ def classes(docs: DataFrame, text: str = "text", size: int = 256, rows: int = 8,
         order = W.partitionBy("bucket").orderBy("node")
         chosen = rest.join(main, "bucket").filter(F.col("component") != F.col("main")).select("bucket", F.col("node"), F.col("component")).withColumn("i", F.row_number().over(order)).filter(F.col("i") <= centres)
         chosen = materialize(chosen.select("bucket", F.col("node").alias("c"), F.col("component").alias("c_component")))
-        left = rest.join(nodes.select("node", "bytes"), "node")
-        right = chosen.join(nodes.select(F.col("node").alias("c"), F.col("bytes").alias("c_bytes")), "c")
-        near = (left["bucket"] == right["bucket"]) & (left["component"] != right["c_component"]) & _maybe("bytes", "c_bytes", size, threshold)
+        left = rest.join(nodes.select("node", "bytes", "bands"), "node")
+        right = chosen.join(nodes.select(F.col("node").alias("c"), F.col("bytes").alias("c_bytes"), F.col("bands").alias("c_bands")), "c")
+        # a pair counts in the first bucket that it shares, so it is one row
+        once = F.get(F.filter(F.zip_with("bands", "c_bands", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull()), 0) == left["bucket"]
+        near = (left["bucket"] == right["bucket"]) & (left["component"] != right["c_component"]) & once & _maybe("bytes", "c_bytes", size, threshold)
         across = left.join(right, near)
         pairs = across.select(F.greatest("node", "c").alias("a"), F.least("node", "c").alias("b")).distinct()
         pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"))
