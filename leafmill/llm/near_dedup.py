@@ -206,10 +206,12 @@ def keep_first(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """docs with one row of each class: the row with the least doc_id (null texts all stay)."""
     found = classes(docs, text, **options).filter(F.col("node").isNotNull())
     lead = found.select(F.col("class_id").alias("_id"), F.col("first_node").alias("_key")).distinct()
-    keyed = docs.withColumn("_node", F.when(F.col(text).isNotNull(), content_key(text)))
-    kept = keyed.filter(F.col(text).isNotNull()).join(lead, (F.col("_node") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-    once = kept.withColumn("_i", F.row_number().over(W.partitionBy("_node", "doc_id").orderBy("doc_id"))).filter("_i = 1")
-    return once.select(*docs.columns).unionByName(docs.filter(F.col(text).isNull()))
+    body = F.col(f"_row.{text}")
+    rows = docs.select(F.struct(*docs.columns).alias("_row"))
+    keyed = rows.filter(body.isNotNull()).withColumns({"_node": content_key(f"_row.{text}"), "_doc": F.col("_row.doc_id")})
+    kept = keyed.join(lead, (F.col("_node") == F.col("_key")) & F.col("_doc").eqNullSafe(F.col("_id")))
+    once = kept.withColumn("_i", F.row_number().over(W.partitionBy("_node", "_doc").orderBy("_doc"))).filter("_i = 1")
+    return once.select("_row").unionByName(rows.filter(body.isNull())).select("_row.*")
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
