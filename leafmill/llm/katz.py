@@ -252,17 +252,12 @@ def score(docs: DataFrame, train: Column, text: str = "text", order: int = 2, k:
             yield flush()
 
     blocks = materialize(rows.mapInPandas(tokenise, "block string, tokens long"))
-    total = blocks.agg(F.sum("tokens")).first()[0] or 0
+    total, number = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.count(F.lit(1))).first()
+    # a row that names a block, or answers one, stands for millions of tokens, so these tasks are dealt by number, not by bytes
+    dealt = max(1, min(number, 100_000))
     bits = max(5, min(24, int(total // partition_tokens).bit_length()))
     model = Model(k)
-    cut = blocks.repartition(F.col("block")).select("block")  # dealt over all tasks: a row stands for a file
-
-    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in batches:
-            for name in part["block"]:
-                b = _read(root, name)
-                keys, _, counts = b.keys(1)
-                yield _requests(_pieces(name, keys, bits, [counts]))
+    cut = blocks.select("block").repartition(dealt, "block")
 
     def learned(answers: DataFrame, level: int) -> DataFrame:
         sums = [F.sum(F.get("stats", i)).alias(f"s{i}") for i in range(k + 3)]
@@ -270,14 +265,19 @@ def score(docs: DataFrame, train: Column, text: str = "text", order: int = 2, k:
         return answers.filter(F.col("block").isNotNull())
 
     def each(answers: DataFrame, work: Callable[[str, Block, pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-        return answers.groupBy("block").applyInPandas(lambda part: work(part["block"].iloc[0], _read(root, part["block"].iloc[0]), part), schema)
+        return answers.repartition(dealt, "block").groupBy("block").applyInPandas(lambda part: work(part["block"].iloc[0], _read(root, part["block"].iloc[0]), part), schema)
 
-    answers = learned(_count_table(cut.mapInPandas(first, REQUEST), 2, k), 1)
-    for level in range(2, order + 1):
+    def counted(level: int) -> DataFrame:
+        def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for part in batches:
+                for name in part["block"]:
+                    keys, _, counts = _read(root, name).keys(level)
+                    yield _requests(_pieces(name, keys, bits, [counts]))
 
-        def count(name: str, b: Block, _: pd.DataFrame, level: int = level) -> pd.DataFrame:
-            keys, _, counts = b.keys(level)
-            return _requests(_pieces(name, keys, bits, [counts]))
+        return learned(_count_table(cut.mapInPandas(count, REQUEST), 2 * level, k), level)
+
+    answers = counted(1)
+    for level in range(2, order + 1):
 
         def sums(name: str, b: Block, known: pd.DataFrame, level: int = level) -> pd.DataFrame:
             below = _probabilities(b, model, known, level - 1)
@@ -292,8 +292,7 @@ def score(docs: DataFrame, train: Column, text: str = "text", order: int = 2, k:
             mass, lower, n = add(share * model.discounted(level, total)), add(share * below[where]), add(own.astype(np.float64))
             return _requests(_pieces(name, contexts, bits, [mass, lower, n.astype(np.int64)]))
 
-        found = learned(_count_table(each(answers.filter("table = 2").select("block").distinct(), count, REQUEST), 2 * level, k), level)
-        answers = answers.unionByName(found)
+        answers = answers.unionByName(counted(level))
         answers = answers.unionByName(materialize(_context_table(each(answers, sums, REQUEST), 2 * level + 1)))
 
     def final(_: str, b: Block, known: pd.DataFrame) -> pd.DataFrame:
