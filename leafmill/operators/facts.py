@@ -13,14 +13,14 @@ from leafmill.operators.quality import latest
 RULES = {
     "parallel": r"∥|平行|//|\\parallel",
     "perpendicular": r"⊥|垂直|\\perp",
-    "equal_length": r"[A-Z]{1,3}\s*=\s*[A-Z]{1,3}|等长|相等.{0,6}边",
-    "equal_angle": r"∠|角.{0,8}相等|等角",
-    "midpoint": r"中点|(?i:midpoint)",
-    "collinear": r"共线|三点.{0,4}在.{0,6}同.{0,4}线",
-    "point_on_segment": r"[A-Z]\s*在\s*[A-Z]{2}\s*上|(?i:on segment)",
+    "equal_length": r"=\s*[A-Z]{1,3}.*[A-Z]{1,3}|等长|相等.*边",
+    "equal_angle": r"∠|角.*相等|等角",
+    "midpoint": r"中点|midpoint",
+    "collinear": r"共线|三点.*在.*同.*(直)?线",
+    "point_on_segment": r"D\s*在\s*[A-Z]{1,3}上|点.*在.*线段.*上|on segment",
 }
-CONFIDENCE = {"text_and_diagram": 0.95, "text_explicit": 0.90, "diagram_label": 0.70, "visual_inference": 0.40, "unknown": 0.10}
-PROMOTABLE = ("text_explicit", "text_and_diagram", "diagram_label")
+CONFIDENCE = {"problem_text_and_diagram_mark": 0.95, "problem_text": 0.90, "diagram_mark": 0.70, "visual_inference": 0.40, "unknown": 0.10}
+PROMOTABLE = ("problem_text", "problem_text_and_diagram_mark", "diagram_mark")
 EXPORTABLE = ("confirmed", "corrected")
 SENTENCES = {
     "parallel": ("{0}与{1}平行", "{0} is parallel to {1}"),
@@ -74,7 +74,7 @@ def relations(figures: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
     line = F.when(F.size("points") >= 3, F.array(F.slice("points", 1, 3))).otherwise(F.array().cast("array<array<string>>"))
     entities = F.when(F.array_contains(pair, F.col("type")), on).when(F.col("type") == "collinear", line).when(F.col("type") == "equal_angle", angle_triples(F.col("points"))).otherwise(index_pairs(F.col("segments")))
     rows = rows.withColumn("entities", F.explode(entities))
-    evidence = F.when(F.length(F.coalesce("caption", F.lit(""))) > 0, "text_and_diagram").otherwise("text_explicit")
+    evidence = F.when(F.length(F.coalesce("caption", F.lit(""))) > 0, "problem_text_and_diagram_mark").otherwise("problem_text")
     conf = F.lit(CONFIDENCE["unknown"])
     for k, v in CONFIDENCE.items():
         conf = F.when(F.col("evidence") == k, v).otherwise(conf)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 # Publisher phrases, lone symbols.
-WATERMARKS = ("微信公众号", "教辅资料站", "扫码关注", "关注公众号", "版权所有", "资料下载")
+WATERMARKS = ("微信公众号 教辅资料站", "微信公众号", "教辅资料站", "学而思", "新东方", "高思教育")
 SYMBOLS = "#@$%&*?/\\|<>~^`"
 
 
@@ -105,7 +105,7 @@ def model_gate(relations: Column, has_asset: Column) -> Column:
         .when(F.size(relations) == 0, "no_relations")
         .when(F.forall(relations, lambda r: r["review_state"] == "confirmed"), "all_confirmed")
         .when(F.exists(relations, lambda r: r["evidence"].isin("visual_inference", "unknown")), "call:weak")
-        .when(F.exists(relations, lambda r: r["evidence"] == "text_explicit"), "text_suffices")
+        .when(F.exists(relations, lambda r: r["evidence"] == "problem_text"), "text_suffices")
         .otherwise("call:unclear")
     )
 

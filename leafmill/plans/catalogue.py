@@ -70,11 +70,11 @@ def normalized_text(spark, d):
     return rows.select("doc_id", F.md5(T.normalized(F.col("text")).cast("binary")).alias("digest"))
 
 
-NOISE_ROWS = [(1, "", ""), (2, "", "ab!"), (3, "扫码关注我们", "长文"), (4, "#", "x"), (5, "U", "U"), (6, "118", "118"), (7, "8-2", "8-2"), (8, "10", "10"), (9, "A1", "A1 short"), (10, "定义 三角形", "内容"), (11, "1234", "1234"), (12, "U", "a body that is long enough to be kept here")]
+NOISE_ROWS = [(1, "", ""), (2, "", "ab!"), (3, "学而思 课堂", "长文"), (4, "#", "x"), (5, "U", "U"), (6, "118", "118"), (7, "8-2", "8-2"), (8, "10", "10"), (9, "A1", "A1 short"), (10, "定义 三角形", "内容"), (11, "1234", "1234"), (12, "U", "a body that is long enough to be kept here")]
 NOISE_VALUES = ", ".join(f"({i}, '{t}', '{b}')" for i, t, b in NOISE_ROWS)
 NOISE_SQL = """
     SELECT id, CASE WHEN t = '' AND (b = '' OR (length(b) <= 3 AND NOT regexp_matches(b, '[\\p{L}\\p{N}]'))) THEN 'empty' WHEN t = '' THEN NULL
-      WHEN regexp_matches(t, '微信公众号|教辅资料站|扫码关注|关注公众号|版权所有|资料下载') THEN 'watermark'
+      WHEN regexp_matches(t, '微信公众号|教辅资料站|学而思|新东方|高思教育') THEN 'watermark'
       WHEN length(t) = 1 AND contains('#@$%&*?/\\|<>~^`', t) THEN 'symbol'
       WHEN regexp_full_match(t, '[A-Za-z]') AND length(b) < 30 THEN 'letter'
       WHEN regexp_full_match(t, '\\p{Nd}{1,3}') THEN 'number'
@@ -310,12 +310,12 @@ def review_last_wins(spark, d):
     return quality.latest(rows, ["user_id", "event_type"], [F.col("ts"), F.col("event_id")]).select("user_id", "event_type", "action", "event_id")
 
 
-EVIDENCE_SQL = "CASE user_id % 5 WHEN 0 THEN 'text_and_diagram' WHEN 1 THEN 'text_explicit' WHEN 2 THEN 'diagram_label' WHEN 3 THEN 'visual_inference' ELSE 'unknown' END"
+EVIDENCE_SQL = "CASE user_id % 5 WHEN 0 THEN 'problem_text_and_diagram_mark' WHEN 1 THEN 'problem_text' WHEN 2 THEN 'diagram_mark' WHEN 3 THEN 'visual_inference' ELSE 'unknown' END"
 
 
 def _reviewed(spark, d):
     ev, n, m = table(spark, d, "events"), F.col("user_id") % 5, F.col("event_id") % 3
-    evidence = F.when(n == 0, "text_and_diagram").when(n == 1, "text_explicit").when(n == 2, "diagram_label").when(n == 3, "visual_inference").otherwise("unknown")
+    evidence = F.when(n == 0, "problem_text_and_diagram_mark").when(n == 1, "problem_text").when(n == 2, "diagram_mark").when(n == 3, "visual_inference").otherwise("unknown")
     rels = ev.filter(F.col("user_id") % 11 != 0).select(F.col("user_id").alias("figure_id"), F.col("event_type").alias("key"), evidence.alias("evidence"), F.lit("unreviewed").alias("review_state")).distinct()
     dec = ev.select(F.col("user_id").alias("figure_id"), F.col("event_type").alias("key"), F.when(m == 0, "confirm").when(m == 1, "correct").otherwise("reject").alias("action"), F.col("event_id").alias("ord"))
     return rels, dec
@@ -430,7 +430,7 @@ def nearest_unique(spark, d):
 FIGS = [(1, "AB∥CD，交于点 E", None), (2, "M 是 AB 的中点", "图"), (3, "AB 垂直 CD 且 AB=CD", None), (4, "nothing here", None), (5, "Segment AB and CD: AB // CD", "cap")]
 
 
-@query("""SELECT * FROM (VALUES (1, 'parallel', 'AB+CD', 'text_explicit', 0.9::DOUBLE), (2, 'midpoint', 'M+AB', 'text_and_diagram', 0.95::DOUBLE), (3, 'perpendicular', 'AB+CD', 'text_explicit', 0.9::DOUBLE), (3, 'equal_length', 'AB+CD', 'text_explicit', 0.9::DOUBLE)) v(figure_id, type, entities, evidence, confidence)""")
+@query("""SELECT * FROM (VALUES (1, 'parallel', 'AB+CD', 'problem_text', 0.9::DOUBLE), (2, 'midpoint', 'M+AB', 'problem_text_and_diagram_mark', 0.95::DOUBLE), (3, 'perpendicular', 'AB+CD', 'problem_text', 0.9::DOUBLE), (3, 'equal_length', 'AB+CD', 'problem_text', 0.9::DOUBLE)) v(figure_id, type, entities, evidence, confidence)""")
 def relation_extract(spark, d):
     rows = spark.createDataFrame(FIGS[:4], "figure_id int, text string, caption string").withColumn("text", F.replace(F.replace("text", F.lit("AB∥CD"), F.lit("AB ∥ CD A B C D")), F.lit("AB 垂直 CD"), F.lit("A B C D AB 垂直 CD")))
     rows = rows.withColumn("text", F.replace("text", F.lit("M 是 AB"), F.lit("A B M 是 AB")))

@@ -50,11 +50,11 @@ def asset_gate(spark, d):
     return table(spark, d, "pages").select("page_id", verdict.alias("verdict"))
 
 
-@query("""WITH r AS (SELECT user_id, list(struct_pack(e := CASE event_id % 3 WHEN 0 THEN 'text_explicit' WHEN 1 THEN 'visual_inference' ELSE 'diagram_label' END, s := CASE WHEN user_id % 4 = 0 THEN 'confirmed' ELSE 'unreviewed' END)) FILTER (event_type = 'click' AND event_id % 60 < 4) AS l FROM events GROUP BY 1)
-    SELECT user_id, CASE WHEN user_id % 5 = 0 THEN 'no_asset' WHEN coalesce(len(l), 0) = 0 THEN 'no_relations' WHEN user_id % 4 = 0 THEN 'all_confirmed' WHEN len(list_filter(l, lambda x: x.e = 'visual_inference')) > 0 THEN 'call:weak' WHEN len(list_filter(l, lambda x: x.e = 'text_explicit')) > 0 THEN 'text_suffices' ELSE 'call:unclear' END AS verdict FROM r""")
+@query("""WITH r AS (SELECT user_id, list(struct_pack(e := CASE event_id % 3 WHEN 0 THEN 'problem_text' WHEN 1 THEN 'visual_inference' ELSE 'diagram_mark' END, s := CASE WHEN user_id % 4 = 0 THEN 'confirmed' ELSE 'unreviewed' END)) FILTER (event_type = 'click' AND event_id % 60 < 4) AS l FROM events GROUP BY 1)
+    SELECT user_id, CASE WHEN user_id % 5 = 0 THEN 'no_asset' WHEN coalesce(len(l), 0) = 0 THEN 'no_relations' WHEN user_id % 4 = 0 THEN 'all_confirmed' WHEN len(list_filter(l, lambda x: x.e = 'visual_inference')) > 0 THEN 'call:weak' WHEN len(list_filter(l, lambda x: x.e = 'problem_text')) > 0 THEN 'text_suffices' ELSE 'call:unclear' END AS verdict FROM r""")
 def model_gate(spark, d):
     m = F.col("event_id") % 3
-    ev = F.when(m == 0, "text_explicit").when(m == 1, "visual_inference").otherwise("diagram_label")
+    ev = F.when(m == 0, "problem_text").when(m == 1, "visual_inference").otherwise("diagram_mark")
     row = F.struct(ev.alias("evidence"), F.when(F.col("user_id") % 4 == 0, "confirmed").otherwise("unreviewed").alias("review_state"))
     rels = table(spark, d, "events").groupBy("user_id").agg(F.collect_list(F.when((F.col("event_type") == "click") & (F.col("event_id") % 60 < 4), row)).alias("r"))
     return rels.select("user_id", quality.model_gate(F.col("r"), F.col("user_id") % 5 != 0).alias("verdict"))
