@@ -2,10 +2,11 @@
 
 Texts become L2-normalised TF-IDF vectors of hashed byte trigrams of their letters. For each language a bounded
 sample of labelled rows is clustered (spherical k-means) into several centroids; a text gets the language of the
-centroid with the highest cosine, and is rejected when it is too far from that centroid.
+centroid with the highest cosine, and is rejected when that cosine is below the language's limit. The limit lies in
+the middle between the cosines of the language's own rows and those of the other languages, over rows that were not fitted.
 
-Bound: at most `sample_per_language` rows (default 400) of each label are fitted, taken by a hash of doc_id, so
-the model has at most languages x `clusters` x `dims` numbers. Everything else covers all rows.
+Bound: at most `sample_per_language` rows (default 400) of each label are fitted and a third as many set the limits,
+taken by a hash of doc_id, so the model has at most languages x `clusters` x `dims` numbers. Everything else covers all rows.
 Edge cases: a null text, or one without a letter, gets `und`, score 0 and rejected = true; an empty or unlabelled
 table learns nothing and predicts `und`; ties go to the language that sorts first; repeated rows are scored alike;
 extra columns pass through, and the output columns replace columns of the same name.
@@ -49,24 +50,49 @@ def _vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return x / np.where(norm == 0, 1, norm)
 
 
-def _cluster(x: np.ndarray, clusters: int, rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
-    """Spherical k-means from farthest-first seeds: (centroids, cosine of each row to its own)."""
-    mean = x.mean(axis=0)
-    seeds = [int(np.argmax(x @ mean))]
-    while len(seeds) < min(clusters, len(x)):
-        seeds.append(int(np.argmin((x @ x[seeds].T).max(axis=1))))
-    c = x[seeds].copy()
-    for turn in range(2 * rounds):
-        own = (x @ c.T).argmax(axis=1)
-        if turn == rounds:  # clusters of a few odd rows (one quoted line, say) do not stand for the language
-            sizes = np.bincount(own, minlength=len(c))
-            c = c[sizes >= min(0.05 * len(x), sizes.max())]
-            own = (x @ c.T).argmax(axis=1)
-        for k in range(len(c)):
-            if (own == k).any():
-                m = x[own == k].mean(axis=0)
-                c[k] = m / max(float(np.linalg.norm(m)), 1e-12)
-    return c, (x @ c.T).max(axis=1)
+def _halves(x: np.ndarray) -> np.ndarray:
+    """Which rows lie above the median along the rows' main direction."""
+    y = x - x.mean(axis=0)
+    gram = (y @ y.T).astype(np.float64)
+    along = np.linalg.eigh(gram)[1][:, -1] if gram.max() > 1e-6 else np.zeros(len(x))
+    middle = np.median(along)
+    upper = along > middle
+    return upper if upper.any() else along < middle
+
+
+def _means(x: np.ndarray, own: np.ndarray, k: int) -> np.ndarray:
+    c = np.stack([x[own == i].mean(axis=0) for i in range(k)])
+    return c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
+
+
+def _cluster(x: np.ndarray, clusters: int, rounds: int = 24) -> np.ndarray:
+    """Centroids of spherical k-means. Seeds are halves of the largest clusters, as a single row far from all draws no others to it
+    (such seeds end as clusters of one odd row); rounds end before one that leaves a cluster under 5 % of the rows."""
+    own, k, whole = np.zeros(len(x), dtype=np.int64), 1, set()
+    while k < clusters and len(whole) < k:
+        sizes = np.bincount(own, minlength=k)
+        big = max(set(range(k)) - whole, key=lambda i: (sizes[i], -i))
+        at = np.flatnonzero(own == big)
+        upper = _halves(x[at])
+        if upper.any():
+            own[at[upper]] = k
+            k += 1
+        else:
+            whole.add(big)  # equal rows
+    c = _means(x, own, k)
+    for _ in range(rounds):
+        new = (x @ c.T).argmax(axis=1)
+        if (new == own).all() or np.bincount(new, minlength=k).min() < 0.05 * len(x):
+            break
+        own = new
+        c = _means(x, own, k)
+    return c
+
+
+def _limit(inside: np.ndarray, outside: np.ndarray) -> float:
+    """The middle between the cosines that 99 % of the language's own rows and 1 % of the other languages' rows exceed."""
+    low = float(np.quantile(outside, 0.99)) if len(outside) else 0.0
+    return (low + float(np.quantile(inside, 0.01))) / 2 if len(inside) else low
 
 
 class Model:
@@ -76,8 +102,8 @@ class Model:
         self.languages, self.centroids, self.limits, self.idf = languages, centroids, limits, idf
 
 
-def fit(docs: DataFrame, text: str = "text", label: str = "lang", sample_per_language: int = 400, clusters: int = 4, dims: int = 8192, slack: float = 0.12, training: Column | None = None) -> Model:
-    """Fit on at most sample_per_language rows of each label; `training` says which rows may be used."""
+def fit(docs: DataFrame, text: str = "text", label: str = "lang", sample_per_language: int = 400, clusters: int = 4, dims: int = 8192, training: Column | None = None) -> Model:
+    """Fit on at most sample_per_language rows of each label, and set the limits on a third as many others; `training` says which rows may be used."""
     rows = docs.filter(F.col(label).isNotNull() & F.col(text).rlike("\\p{L}"))
     if training is not None:
         rows = rows.filter(training)
@@ -87,30 +113,50 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang", sample_per_lan
     rates = [(r["label"], 2.0 * sample_per_language / r["count"]) for r in known.groupBy("label").count().collect()]  # one row a label, as the model has
     few = known.join(F.broadcast(docs.sparkSession.createDataFrame(rates, "label string, rate double")), "label").filter(F.col("draw") < F.col("rate"))
     order = W.partitionBy("label").orderBy("draw", "doc_id")
-    chosen = few.dropDuplicates(["label", "doc_id"]).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= sample_per_language)
+    chosen = few.dropDuplicates(["label", "doc_id"]).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= sample_per_language * 4 // 3)
 
     def sparse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
-            out = [(lab, np.flatnonzero(c := gram_counts(t, dims)), c[c > 0]) for lab, t in zip(part["label"], part["body"], strict=True)]
-            yield pd.DataFrame(out, columns=["label", "at", "n"])
+            out = [(lab, apart, np.flatnonzero(c := gram_counts(t, dims)), c[c > 0]) for lab, apart, t in zip(part["label"], part["apart"], part["body"], strict=True)]
+            yield pd.DataFrame(out, columns=["label", "apart", "at", "n"])
 
-    sample = materialize(chosen.select("label", "body").mapInPandas(sparse, "label string, at array<int>, n array<int>"))
+    drawn = materialize(chosen.select("label", (F.col("rank") % 4 == 0).alias("apart"), "body").mapInPandas(sparse, "label string, apart boolean, at array<int>, n array<int>"))
+    sample = drawn.filter(~F.col("apart"))
     total = sample.count()
     idf = np.full(dims, np.log(1.0 + total) + 1.0, dtype=np.float32)
     for at, n in sample.select(F.explode("at").alias("at")).groupBy("at").count().collect():  # at most dims rows
         idf[at] = np.log((1.0 + total) / (1.0 + n)) + 1.0
 
-    def centroids(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+    def dense(part: pd.DataFrame) -> np.ndarray:
         counts = np.zeros((len(part), dims), dtype=np.int32)
         for i, (at, n) in enumerate(zip(part["at"], part["n"], strict=True)):
             counts[i, at] = n
-        x = _vectors(counts, idf)
-        c, near = _cluster(x[np.lexsort(x[:, :16].T)], clusters)
-        return pd.DataFrame({"label": [key[0]] * len(c), "centroid": list(c), "edge": [float(slack * np.quantile(near, 0.005))] * len(c)})
+        return _vectors(counts, idf)
+
+    def centroids(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        x = dense(part)
+        c = _cluster(x[np.lexsort(x[:, :16].T)], clusters)
+        return pd.DataFrame({"label": [key[0]] * len(c), "centroid": list(c)})
 
-    found = sample.groupBy("label").applyInPandas(centroids, "label string, centroid array<float>, edge double").collect()
+    found = sample.groupBy("label").applyInPandas(centroids, "label string, centroid array<float>").collect()
     found.sort(key=lambda r: (r["label"], r["centroid"]))
-    return Model([r["label"] for r in found], np.array([r["centroid"] for r in found], dtype=np.float32).reshape(len(found), dims), np.array([r["edge"] for r in found]), idf)
+    labels = np.array([r["label"] for r in found], dtype=object)
+    names = sorted(set(labels))
+    c = np.array([r["centroid"] for r in found], dtype=np.float32).reshape(len(found), dims)
+    shared = docs.sparkSession.sparkContext.broadcast(c)
+
+    def cosines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in batches:
+            for k in range(0, len(part), 128):
+                rows = part.iloc[k : k + 128]
+                cosine = dense(rows) @ shared.value.T
+                for name in names:
+                    yield pd.DataFrame({"label": name, "inside": (rows["label"] == name).to_numpy(), "cosine": cosine[:, labels == name].max(axis=1)})
+
+    apart = drawn.filter("apart").mapInPandas(cosines, "label string, inside boolean, cosine double")
+    limits = apart.groupBy("label").applyInPandas(lambda key, x: pd.DataFrame({"label": [key[0]], "edge": [_limit(x["cosine"][x["inside"]].to_numpy(), x["cosine"][~x["inside"]].to_numpy())]}), "label string, edge double")
+    edge = {r["label"]: r["edge"] for r in limits.collect()}
+    return Model(list(labels), c, np.array([edge.get(name, 0.0) for name in labels]), idf)
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

@@ -82,6 +82,19 @@ def test_language_accuracy_on_held_out_rows(spark, docs_of):
     assert all(r["rejected"] for r in far) and far[1]["lang_pred"] == "und"
 
 
+def test_language_keeps_several_centroids_and_rejects_other_languages(spark, docs_of):
+    random.seed(8)
+    parts = {"en": [["the", "ing", "and"], ["tion", "ou", "sh"], ["wh", "er", "st"]], "fr": [["eau", "eux", "la"], ["ment", "ai", "qu"], ["é", "ou", "oi"]]}
+    rows = [(k, " ".join("".join(random.choices(parts[lang][k % 3], k=2)) for _ in range(random.randrange(20, 60))), lang) for k in range(480) for lang in [("en", "fr")[k // 240]]]
+    rows += [(1000 + k, "Licensed under " + "zq" * k + " 4.0", lang) for k, lang in enumerate(("en", "fr") * 2)]
+    model = language_id.fit(docs_of(rows), clusters=3)
+    assert Counter(model.languages) == {"en": 3, "fr": 3}
+    far = ["Dzisiaj rano poszedłem do sklepu, ponieważ chciałem kupić świeży chleb", "Tänään aamulla menin kauppaan ostamaan tuoretta leipää", "xqzv kjwpt bgfhd zzqrx mwvkl pqjxn tgbvf rfxzc"]
+    got = language_id.identify(docs_of([*rows[:480], *((2000 + k, t, None) for k, t in enumerate(far))]), model).collect()
+    assert all(r["rejected"] for r in got if r["doc_id"] >= 2000)
+    assert sum(r["rejected"] for r in got if r["doc_id"] < 2000) <= 5
+
+
 def test_language_sample_is_bounded(spark, docs_of):
     docs = docs_of([(k, f"some words {k}", "en") for k in range(500)] + [(1, "repeated row", "en")] * 300)
     assert len(language_id.fit(docs, sample_per_language=20, clusters=3, dims=256).languages) <= 3
