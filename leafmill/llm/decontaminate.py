@@ -3,7 +3,10 @@
 Texts become words (lower case, runs of letters and digits) and words become hashes. Fixed masks say which positions
 of a window count; the hash of those words is a seed, so a substituted word at an ignored position leaves the seed as
 it is. The seeds of all positions of a text are joined to the seeds of the benchmark. Around each hit the item and the text are laid along each other
-(`reach` words to each side, within the item) and the overlap counts when at least `min_share` of those words agree.
+(`reach` words to each side, within the item), and the hit is extended to its best local run (a word that agrees counts 1,
+one that does not -3). An item overlaps a text when one run has `min_run` words that agree; or the runs that lie within `band`
+words of one line (inserted or lost words shift them) hold `min_share` of the item; or `min_share` of all words laid along
+each other agree.
 
 All of it is DataFrame operations: texts are read once and, with a bounded benchmark, never shuffled; only hits move.
 Bounds: the seeds are counted before they are broadcast; above `max_seeds` the join is an ordinary
@@ -46,8 +49,21 @@ def _seed_of(mask: str) -> Callable[[Column], Column]:
     return lambda i: seed(F.col("w"), i, mask)
 
 
-def find_overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", reach: int = 64, min_share: float = 0.5, max_seeds: int = 1 << 22) -> DataFrame:
-    """doc_id, node (content key), item_id, matched, compared: the best overlap of each text and item."""
+def _extension(agrees: Column) -> Column:
+    """Length of the best-scoring beginning of an array of booleans."""
+
+    def add(acc: Column, a: Column) -> Column:
+        score, at = acc["score"] + F.when(a, 1).otherwise(-3), acc["at"] + 1
+        better = score > acc["best"]
+        return F.struct(score.alias("score"), at.alias("at"), F.greatest(score, acc["best"]).alias("best"), F.when(better, at).otherwise(acc["len"]).alias("len"))
+
+    zero = F.lit(0)
+    return F.aggregate(agrees, F.struct(zero.alias("score"), zero.alias("at"), zero.alias("best"), zero.alias("len")), add, lambda acc: acc["len"])
+
+
+def find_overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", reach: int = 64, min_share: float = 0.5, min_run: int = 13, band: int = 8, max_seeds: int = 1 << 22) -> DataFrame:
+    """doc_id, node (content key), item_id, matched, compared: the overlap of each text and item, as words of the item that
+    the text holds in one place and words of the item."""
     spark = docs.sparkSession
     items = benchmark.select("item_id", words(text_or_empty("text")).alias("item")).filter(F.size("item") >= MIN_WORDS)
     longest = max(map(len, MASKS))
@@ -79,11 +95,21 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", rea
     pairs = pairs.join(hint(items), "item_id")
     low = F.greatest(F.lit(0), F.col("j") - reach)
     high = F.least(F.size("item"), F.col("j") + reach)
-    agree = F.size(F.filter(F.sequence(low, high - 1), lambda p: (F.col("i") - F.col("j") + p >= F.col("left")) & (F.get("item", p) == F.get("near", F.col("i") - F.col("j") + p - F.col("left")))))
-    pairs = pairs.select("doc_id", "node", "item_id", agree.alias("matched"), (high - low).alias("compared"))
-    good = pairs.filter(F.col("matched") >= F.col("compared") * min_share)
-    best = F.max(F.struct((F.col("matched") / F.col("compared")).alias("share"), "matched", "compared"))
-    return good.groupBy("doc_id", "node", "item_id").agg(best.alias("best")).select("doc_id", "node", "item_id", "best.matched", "best.compared")
+    agrees = F.transform(F.sequence(low, high - 1), lambda p: F.coalesce((F.col("i") - F.col("j") + p >= F.col("left")) & (F.get("item", p) == F.get("near", F.col("i") - F.col("j") + p - F.col("left"))), F.lit(False)))
+    pairs = pairs.select("doc_id", "node", "item_id", "j", (F.col("i") - F.col("j")).alias("line"), low.alias("low"), F.size("item").alias("n"), agrees.alias("agrees"))
+    here = F.col("j") - F.col("low")
+    before = _extension(F.reverse(F.slice("agrees", 1, here)))
+    after = _extension(F.slice("agrees", here + 1, F.size("agrees")))
+    pairs = pairs.withColumns({"from": F.col("j") - before, "to": F.col("j") + after})
+    run = F.filter(F.sequence("from", F.col("to") - 1), lambda p: F.get("agrees", p - F.col("low")))
+    pairs = pairs.select("doc_id", "node", "item_id", "n", "line", run.alias("run"), F.size(F.filter("agrees", lambda a: a)).alias("along"), F.size("agrees").alias("laid"))
+    best = F.max(F.struct((F.col("along") / F.col("laid")).alias("share"), "along"))
+    found = pairs.groupBy("doc_id", "node", "item_id", "n").agg(best.alias("best"), F.max(F.size("run")).alias("longest"), F.collect_set(F.struct("line", "run")).alias("runs"))
+    beside = lambda r: F.filter("runs", lambda x: F.abs(x["line"] - r["line"]) <= band)
+    together = F.array_max(F.transform("runs", lambda r: F.size(F.array_distinct(F.flatten(F.transform(beside(r), lambda x: x["run"]))))))
+    found = found.withColumn("together", together)
+    good = found.filter((F.col("longest") >= min_run) | (F.col("together") >= F.col("n") * min_share) | (F.col("best.share") >= min_share))
+    return good.select("doc_id", "node", "item_id", F.greatest("together", "best.along").alias("matched"), F.col("n").alias("compared"))
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:

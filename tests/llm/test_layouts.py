@@ -140,3 +140,22 @@ def test_decontamination_tolerates_substitutions(spark, docs_of):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, _ in docs} - {i for i, _ in got}
     unbounded = decontaminate.find_overlaps(docs_of([(i, t, "en") for i, t in docs]), spark.createDataFrame(items, "item_id long, text string"), max_seeds=1)
     assert {(r["doc_id"], r["item_id"]) for r in unbounded.collect()} == got
+
+
+def test_decontamination_finds_parts_of_items(spark, docs_of):
+    random.seed(9)
+    words = random.sample([f"v{k}" for k in range(9000)], 9000)
+    other, i59, i300, i30 = words[:4000], words[4000:4059], words[4100:4400], words[4500:4530]
+    items = [(1, " ".join(i59)), (2, " ".join(i300)), (3, " ".join(i30))]
+    texts = {
+        1: other[:100] + i59[20:45] + other[100:200],  # 25 of 59 words
+        2: other[200:300] + i300[120:170] + other[300:400],  # the middle of a long item
+        3: i59[-20:] + other[400:500],  # begins inside an item
+        4: other[500:600] + i300[:20],  # ends inside an item
+        5: other[600:700] + i30[:10] + ["more"] + i30[10:20] + i30[21:] + other[700:800],  # a word more, a word less
+        6: other[800:900] + i59[20:30] + other[900:1000],  # 10 of 59 words
+        7: other[1000:1100] + i30[:10] + other[1100:1200] + i30[20:] + other[1200:1300],  # two short pieces far apart
+    }
+    docs = docs_of([(k, " ".join(t), "en") for k, t in texts.items()])
+    found = decontaminate.find_overlaps(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["matched"], r["compared"]) for r in found) == [(1, 1, 25, 59), (2, 2, 50, 300), (3, 1, 20, 59), (4, 2, 20, 300), (5, 3, 29, 30)]
