@@ -1,16 +1,17 @@
 """Personal data: base patterns, and information-theoretic sanitisation of the terms that reveal them.
 
 Base kinds are email, ip, card and phone. A protected entity is a distinct value of one of them. A term is a word of
-letters, whole within `reach` characters of an entity. With N rows, of which n_c hold entity c, n_t hold term t
-anywhere and n_tc hold t near c, the disclosure of t for c is PMI(c; t) / IC(c) = log(N n_tc / (n_t n_c)) / log(N / n_c):
-the share of the entity's information that the term gives away. A pair seen in at least `support` rows whose
-disclosure is at least `generalise_at` is disclosed: its terms near that entity become spans of kind `term`, which
-`sanitise` replaces by a general mark, or removes from `remove_at` on. Counts cover all rows.
-
-Everything is built-in column functions; texts are read where they lie and never shuffled by `find` (`sanitise` joins
-them to their spans). Candidate terms are counted before their table is broadcast.
+two letters or more outside all base spans. With N rows, of which n_c hold entity c, n_t hold term t and n_tc hold both,
+anywhere in their texts, the disclosure of t for c is PMI(c; t) / IC(c) = log(N n_tc / (n_t n_c)) / log(N / n_c):
+the share of the entity's information that the term gives away. A pair is disclosed when that share is at least
+`generalise_at`; a pair seen in fewer than `support` rows is too rare for the estimate and follows an exact rule: it is
+disclosed when no row without the entity holds the term. All places of a disclosed term in the texts that hold the entity
+become spans of kind `term`, which `sanitise` replaces by a general mark, or removes from `remove_at` on. Counts cover all rows.
+
+Everything is built-in column functions; texts are read where they lie and never shuffled by `find`, but for those that
+hold an entity (`sanitise` joins them to their spans). Terms that meet many entities are joined by broadcast, the others dealt by term.
 Offsets are code points, end exclusive. Edge cases: a null text is empty; rows are never merged, so repeated rows
-count and report again; entities in one row only disclose nothing at the default support; an empty table gives no
+count and report again; an entity that all rows hold discloses nothing; an empty table gives no
 rows; extra columns pass through `sanitise`.
 """
 
@@ -63,17 +64,18 @@ def _passes(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def located(text: Column, pattern: str, kind: str) -> Column:
+def located(text: Column, pattern: str | Column, kind: str) -> Column:
     """Spans of all matches of pattern: offsets are summed over the matches and the pieces between them."""
-    found, pieces = F.regexp_extract_all(text, F.lit(pattern), 0), F.split(text, pattern, -1)
+    found, pieces = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
 
+    # the arrays travel in the accumulator: named in the function they would be made again for each match
     def put(acc: Column, i: Column) -> Column:
-        start = acc["at"] + F.length(F.get(pieces, i))
-        end = start + F.length(F.get(found, i))
-        span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), F.get(found, i).alias("value"))
-        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+        start = acc["at"] + F.length(F.get(acc["pieces"], i))
+        end = start + F.length(F.get(acc["found"], i))
+        span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), F.get(acc["found"], i).alias("value"))
+        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"), acc["found"].alias("found"), acc["pieces"].alias("pieces"))
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("spans"))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("spans"), found.alias("found"), pieces.alias("pieces"))
     placed = F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), start, put, lambda acc: acc["spans"])
     return F.when(F.size(found) > 0, placed).otherwise(F.array().cast(SPAN))
 
@@ -98,44 +100,57 @@ def _entity(span: Column) -> Column:
     return F.concat_ws(":", span["kind"], F.when(span["kind"] == "email", F.lower(span["value"])).when(span["kind"] == "ip", span["value"]).otherwise(_digits(span["value"])))
 
 
-def _near(text: Column, reach: int):
-    """span -> array<struct<entity, term, start, end>>: the whole words before and after it."""
+def _masked(body: Column, spans: Column) -> Column:
+    """body with spaces in place of all spans, so offsets stay."""
+
+    def put(acc: Column, s: Column) -> Column:
+        low, high = F.greatest(acc["at"], s["start"]), F.greatest(acc["at"], s["end"])
+        return F.struct(high.alias("at"), F.concat(acc["out"], F.substring(body, acc["at"] + 1, low - acc["at"]), F.repeat(F.lit(" "), high - low)).alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    places = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    return F.aggregate(places, start, put, lambda acc: F.concat(acc["out"], F.substring(body, acc["at"] + 1, F.length(body))))
+
+
+def _words(text: Column) -> Column:
+    """Distinct whole words of two letters or more, as written."""
+    return F.filter(F.array_distinct(F.split(text, r"[^\p{L}\p{N}]+")), lambda w: w.rlike(r"^\p{L}{2,}+$"))
 
-    def terms(span: Column) -> Column:
-        low = F.greatest(F.lit(0), span["start"] - reach)
-        # a word is whole where a character (or the text's end) shows it; a space stands for either end of the text
-        first, last = F.when(low == 0, " ").otherwise(""), F.when(span["end"] + reach >= F.length(text), " ").otherwise("")
-        before = located(F.concat(first, F.substring(text, low + 1, span["start"] - low)), r"(?<=[^\p{L}\p{N}])\p{L}{2,}+", "term")
-        after = located(F.concat(F.substring(text, span["end"] + 1, F.lit(reach)), last), r"\p{L}{2,}+(?=[^\p{L}\p{N}])", "term")
-        row = lambda base: lambda t: F.struct(_entity(span).alias("entity"), F.lower(t["value"]).alias("term"), (t["start"] + base).alias("start"), (t["end"] + base).alias("end"))
-        return F.concat(F.transform(before, row(low - F.length(first))), F.transform(after, row(span["end"])))
 
-    return terms
+def _terms(words: Column) -> Column:
+    return F.array_distinct(F.transform(words, F.lower))
 
 
-def find(docs: DataFrame, text: str = "text", reach: int = 40, support: int = 3, generalise_at: float = 0.7, remove_at: float = 0.95, max_broadcast: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
+def find(docs: DataFrame, text: str = "text", support: int = 3, generalise_at: float = 0.7, remove_at: float = 0.95, dealt: int = 1000) -> tuple[DataFrame, DataFrame]:
     """(rows, terms): rows has doc_id, node (content key) and the base spans of every row;
     terms has node and spans array<struct<start, end, action>> for the texts with disclosed terms."""
     body = text_or_empty(text)
-    rows = materialize(docs.select("doc_id", content_key(text).alias("node"), base_spans(body).alias("spans"), body.alias("_body")).withColumn("near", F.when(F.size("spans") > 0, F.flatten(F.transform("spans", _near(F.col("_body"), reach))))).drop("_body"))
-    holding = rows.filter(F.size("spans") > 0)
+    rows = docs.select("doc_id", content_key(text).alias("node"), base_spans(body).alias("spans"), body.alias("_body"))
+    rows = materialize(rows.withColumn("bare", F.when(F.size("spans") > 0, _masked(F.col("_body"), F.col("spans")))).withColumn("odd", F.when(F.size("spans") > 0, F.array_except(_terms(_words(F.col("bare"))), _terms(_words(F.col("_body")))))).drop("_body"))
+    holding = rows.filter(F.size("spans") > 0).select("node", F.array_distinct(F.transform("spans", _entity)).alias("entities"), "bare", "odd")
     total = rows.count()
-    pairs = holding.select(F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term")))))).select("col.*")
-    pairs = materialize(pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_tc")).filter(F.col("n_tc") >= support))
-    entities = holding.select(F.explode(F.array_distinct(F.transform("spans", _entity))).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_c"))
-    wanted = pairs.select("term").distinct()
-    wanted = F.broadcast(wanted) if pairs.count() <= max_broadcast else wanted
-    words = F.array_distinct(F.split(F.regexp_replace(F.lower(body), r"[^\p{L}]+", " "), " "))
-    counts = docs.select(F.explode(words).alias("term")).join(wanted, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    scored = pairs.join(entities, "entity").join(counts, "term")
+    met = holding.select("entities", F.explode(_terms(_words(F.col("bare")))).alias("term")).select(F.explode("entities").alias("entity"), "term")
+    pairs = materialize(met.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_tc")))
+    entities = holding.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_c"))
+    every = docs.select(F.explode(_terms(_words(body))).alias("term")).unionAll(holding.select(F.explode("odd").alias("term")))  # odd: whole beside a span only
+    counts = every.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    wanted = materialize(pairs.groupBy("term").agg(F.count(F.lit(1)).alias("n_e")).join(counts, "term"))
+    common, other = wanted.filter(F.col("n_e") > dealt).drop("n_e"), wanted.filter(F.col("n_e") <= dealt).drop("n_e")
+    common = F.broadcast(common)  # at most pairs / dealt rows
+    counted = pairs.join(common, "term").unionByName(pairs.join(common, "term", "left_anti").join(other, "term"))
+    scored = counted.filter((F.col("n_tc") >= support) | (F.col("n_tc") == F.col("n_t"))).join(entities, "entity")
     share = F.ln(F.lit(float(total)) * F.col("n_tc") / (F.col("n_t") * F.col("n_c"))) / F.ln(F.lit(float(total)) / F.col("n_c"))
     disclosed = scored.filter(F.col("n_c") < total).withColumn("share", share).filter(F.col("share") >= generalise_at)
     action = F.when(F.col("share") >= remove_at, "remove").otherwise("generalise")
     disclosed = disclosed.select("entity", "term", action.alias("action"))
-    spots = holding.select("node", F.explode("near").alias("x")).select("node", "x.*").distinct().join(disclosed, ["entity", "term"])
-    spots = spots.groupBy("node", "start", "end").agg(F.max("action").alias("action"))
-    terms = spots.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("start", "end", "action"))).alias("terms"))
-    return rows.drop("near"), materialize(terms)
+    texts = holding.select("node", "entities", "bare").dropDuplicates(["node"])
+    written = texts.select("node", "entities", F.explode(_words(F.col("bare"))).alias("word")).select("node", F.explode("entities").alias("entity"), "word", F.lower("word").alias("term"))
+    written = written.join(disclosed, ["entity", "term"]).groupBy("node", "word").agg(F.max("action").alias("action"))
+    written = written.groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct("word", "action"))).alias("actions"))
+    pattern = F.concat(F.lit(r"(?<![\p{L}\p{N}])(?:"), F.array_join(F.map_keys("actions"), "|"), F.lit(r")(?![\p{L}\p{N}])"))
+    placed = texts.join(written, "node").select("node", "actions", located(F.col("bare"), pattern, "term").alias("places"))
+    spots = F.transform("places", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.element_at("actions", s["value"]).alias("action")))
+    return rows.drop("bare", "odd"), materialize(placed.select("node", spots.alias("terms")))
 
 
 def sanitise(docs: DataFrame, text: str = "text", **options) -> DataFrame:

@@ -80,6 +80,20 @@ def test_disclosure_counts_equal_brute_force(spark, docs_of):
     assert got == {t for t, s in share.items() if s >= 0.0}
 
 
+def test_terms_far_from_a_rare_entity(spark, docs_of):
+    far = "Marlowe lives here. " + "common words of all rows " * 20
+    rows = [(0, far + "box@mail.org common words. Again marlowe, Marlowes and Marlowe.", "en"), (1, "mail common words of Oslo all rows", "en"), (2, "all common words +1 555 123 4567 of rows, Oslo", "en")]
+    rows += [(10 + k, "common words of all rows lives here again and Marlowes", "en") for k in range(40)] + [(300, "abc1.2.3.4 common words", "en")]
+    _, terms = pii.find(docs_of(rows))
+    got = {r["node"]: r["terms"] for r in terms.collect()}
+    keys = {r["node"]: r["text"] for r in docs_of(rows).select(pii.content_key("text").alias("node"), "text").collect()}
+    found = {(keys[node][x["start"] : x["end"]], x["start"], x["action"]) for node, spans in got.items() for x in spans}
+    want = {(m[0], m.start(), "remove") for m in re.finditer(r"\b[Mm]arlowe\b", rows[0][1])} | {("abc", 0, "remove")}
+    assert len(want) == 4 and found == want
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs_of(rows)).collect()}
+    assert clean[0].lower().count("marlowe") == 1 and clean[10] == rows[3][1]
+
+
 def test_checked_tokens(spark):
     body = "A1b2C3d4E5f6G7h8I9j0K1l2M3n4O5"
     good = f"ghp_{body}{secret_scan.checksum62(body)}"
