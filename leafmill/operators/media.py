@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from leafmill.functions import text as T
+from leafmill.operators.graph import components
 
 
 def dedup_by_digest(assets: DataFrame, content: Column, key: str) -> DataFrame:
@@ -39,49 +40,63 @@ def sign_bits(vector: Column) -> Column:
     return F.array(word)
 
 
-def hamming(a: Column, b: Column) -> Column:
-    """Differing bits of two hashes of equally many 64-bit words."""
+def hamming(a: Column, b: Column, words: int | None = None) -> Column:
+    """Differing bits of two hashes of equally many 64-bit words; with the number of words known, one flat expression."""
+    if words is not None:
+        return sum((F.bit_count(F.get(a, w).bitwiseXOR(F.get(b, w))) for w in range(words)), F.lit(0))
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, n: s + n)
 
 
-def hamming_pairs(hashes: DataFrame, key: str, bits: str, limit: int, words: int = 1) -> DataFrame:
-    """(a, b, distance) with distance <= limit: exact, by limit + 1 bands of which two such hashes share one."""
+def _bands(limit: int, words: int) -> list[list[tuple[int, int]]]:
+    """limit + 1 bands of the bits, each a list of (word, mask)."""
     total, n = 64 * words, limit + 1
     edges = [total * k // n for k in range(n + 1)]
-    bands = []
+    out = []
     for k in range(n):
-        parts = []
+        band = []
         for w in range(words):
             low, high = max(edges[k], 64 * w), min(edges[k + 1], 64 * (w + 1))
             if low < high:
-                mask = (1 << (high - low)) - 1
-                parts.append(F.shiftrightunsigned(F.get(bits, w), low - 64 * w).bitwiseAND(F.lit(mask if mask < 1 << 63 else -1)))
-        bands.append(F.struct(F.lit(k).alias("band"), F.xxhash64(*parts).alias("value")) if parts else F.struct(F.lit(k).alias("band"), F.lit(0).cast("long").alias("value")))
-    rows = hashes.select(F.col(key).alias("id"), F.col(bits).alias("bits"), F.explode(F.array(*bands)).alias("s")).select("id", "bits", "s.*")
-    left, right = rows.alias("l"), rows.alias("r")
-    d = hamming(F.col("l.bits"), F.col("r.bits"))
-    met = left.join(right, (F.col("l.band") == F.col("r.band")) & (F.col("l.value") == F.col("r.value")) & (F.col("l.id") < F.col("r.id")) & (d <= limit))
-    return met.select(F.col("l.id").alias("a"), F.col("r.id").alias("b"), d.alias("distance")).distinct()
+                mask = ((1 << (high - low)) - 1) << (low - 64 * w)
+                band.append((w, mask if mask < 1 << 63 else mask - (1 << 64)))
+        out.append(band)
+    return out
+
+
+def _same(a: Column, b: Column, band: list[tuple[int, int]]) -> Column:
+    same = F.lit(True)
+    for w, mask in band:
+        same = same & (F.get(a, w).bitwiseXOR(F.get(b, w)).bitwiseAND(F.lit(mask)) == 0)
+    return same
+
+
+def hamming_pairs(hashes: DataFrame, key: str, bits: str, limit: int, words: int = 1, others: DataFrame | None = None) -> DataFrame:
+    """(a, b, distance) with distance <= limit: exact, by limit + 1 bands of which two such hashes share one.
+
+    A pair is made in the first band that it shares only, so no pair is a row twice. With `others` (of the same columns),
+    a comes from hashes and b from others; else a < b.
+    """
+    bands = _bands(limit, words)
+    values = [F.struct(F.lit(k).alias("band"), F.xxhash64(*[F.get(bits, w).bitwiseAND(F.lit(m)) for w, m in band]).alias("value")) for k, band in enumerate(bands)]
+    dealt = lambda df: df.select(F.col(key).alias("id"), F.col(bits).alias("bits"), F.explode(F.array(*values)).alias("s")).select("id", "bits", "s.*")
+    left, right = dealt(hashes).alias("l"), dealt(hashes if others is None else others).alias("r")
+    x, y = F.col("l.bits"), F.col("r.bits")
+    first = F.lit(len(bands) - 1)
+    for k in range(len(bands) - 2, -1, -1):
+        first = F.when(_same(x, y, bands[k]), k).otherwise(first)
+    d = hamming(x, y, words)
+    near = (F.col("l.band") == F.col("r.band")) & (F.col("l.value") == F.col("r.value")) & (d <= limit) & (first == F.col("l.band"))
+    met = left.join(right, near if others is not None else near & (F.col("l.id") < F.col("r.id")))
+    return met.select(F.col("l.id").alias("a"), F.col("r.id").alias("b"), d.alias("distance"))
 
 
 def clusters(nodes: DataFrame, key: str, pairs: DataFrame) -> DataFrame:
     """key, cluster: the least key of each connected component; every node has a row.
 
-    Each round takes the least label of the neighbours, then the label of the node that the label names, so chains shorten
-    faster than by one link a round; it ends only when nothing changes. Labels are checkpointed.
+    The pairs are written once; components come from contraction, which ends when no pair is left.
     """
-    both = pairs.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(pairs.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    labels = nodes.select(F.col(key).alias("u"), F.col(key).alias("label"))
-    ready = nodes.sparkSession.sparkContext.getCheckpointDir() is not None
-    cut = lambda df: df.checkpoint() if ready else df.localCheckpoint()  # noqa: E731  plans would double each round
-    both = cut(both)
-    while True:
-        least = both.join(labels.withColumnRenamed("u", "v"), "v").groupBy("u").agg(F.min("label").alias("m"))
-        new = cut(labels.join(least, "u", "left").select("u", F.least("label", F.coalesce("m", "label")).alias("label"), F.col("label").alias("old")))
-        if new.filter("label < old").isEmpty():
-            return labels.select(F.col("u").alias(key), F.col("label").alias("cluster"))
-        named = new.select(F.col("u").alias("label"), F.col("label").alias("further")).distinct()
-        labels = cut(new.join(named, "label", "left").select("u", F.least("label", F.coalesce("further", "label")).alias("label")))
+    found = components(pairs).select(F.col("node").alias(key), F.col("component").alias("cluster"))
+    return nodes.select(key).join(found, key, "left").select(key, F.coalesce("cluster", key).alias("cluster"))
 
 
 def visually_equal(members: DataFrame, max_ratio: float = 5.0, min_side: float = 0.5) -> DataFrame:
@@ -91,12 +106,13 @@ def visually_equal(members: DataFrame, max_ratio: float = 5.0, min_side: float =
     return g.select("cluster", "members", "representative", ((F.col("members") >= 2) & (F.col("ratio") < max_ratio) & (F.col("side") > min_side)).alias("equal"))
 
 
-def nearest_references(hashes: DataFrame, references: DataFrame, limit: int = 18, top: int = 20) -> DataFrame:
-    """ref_id, id, distance, rank: the nearest hashes of each reference."""
-    d = hamming(F.col("bits"), F.col("ref_bits"))
-    met = hashes.join(references, d <= limit).withColumn("distance", d)
-    w = W.partitionBy("ref_id").orderBy("distance", "id")
-    return met.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top).select("ref_id", "id", "distance", "rank")
+def nearest_references(hashes: DataFrame, references: DataFrame, limit: int = 18, top: int = 20, words: int = 4) -> DataFrame:
+    """ref_id, id, distance, rank: the nearest hashes (id, bits) of each reference (ref_id, ref_bits); ties go to the lower id."""
+    refs = references.select(F.col("ref_id").alias("id"), F.col("ref_bits").alias("bits"))
+    met = hamming_pairs(hashes.select("id", "bits"), "id", "bits", limit, words, others=refs)
+    w = W.partitionBy("b").orderBy("distance", "a")
+    ranked = met.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top)
+    return ranked.select(F.col("b").alias("ref_id"), F.col("a").alias("id"), "distance", "rank")
 
 
 def difference_hash(images: DataFrame, key: str, side: int = 16) -> DataFrame:

@@ -1,3 +1,5 @@
+import random
+
 from leafmill.operators import media
 
 
@@ -7,3 +9,23 @@ def test_clusters_of_a_long_chain(spark):
     pairs = spark.createDataFrame([*chain, (130, 131)], "a long, b long")
     got = {r["id"]: r["cluster"] for r in media.clusters(nodes, "id", pairs).collect()}
     assert got == {k: 0 if k < 120 else 130 if k == 131 else k for k in range(140)}
+
+
+def test_clusters_of_a_very_long_chain(spark):
+    n = 10_000
+    nodes = spark.range(n + 2)
+    pairs = spark.range(n - 1).selectExpr("id AS a", "id + 1 AS b")
+    got = media.clusters(nodes, "id", pairs).groupBy("cluster").count().collect()
+    assert {r["cluster"]: r["count"] for r in got} == {0: n, n: 1, n + 1: 1}
+
+
+def test_nearest_references_equal_brute_force(spark):
+    random.seed(3)
+    base = [[random.getrandbits(63) for _ in range(4)] for _ in range(3)]
+    near = lambda x, n: [w ^ sum(1 << b for b in random.sample(range(62), n // 4)) for w in x]
+    hashes = [(k, near(base[k % 3], random.choice([0, 4, 8, 16, 20]))) for k in range(60)]
+    refs = [(f"r{k}", b) for k, b in enumerate(base)]
+    far = lambda x, y: sum((p ^ q).bit_count() for p, q in zip(x, y, strict=True))
+    want = {(r, i, d, n + 1) for r, b in refs for n, (d, i) in enumerate(sorted((far(x, b), i) for i, x in hashes if far(x, b) <= 18)[:5])}
+    got = media.nearest_references(spark.createDataFrame(hashes, "id int, bits array<long>"), spark.createDataFrame(refs, "ref_id string, ref_bits array<long>"), top=5)
+    assert {tuple(r) for r in got.collect()} == want and len(want) == 15
