@@ -10,9 +10,10 @@ each other agree.
 
 All of it is DataFrame operations: texts are read once and, with a bounded benchmark, never shuffled; only hits move.
 Bounds: the seeds are counted before they are broadcast; above `max_seeds` the join is an ordinary
-shuffled one. Items of fewer than five words are not searched; items too short for the masks use one
-contiguous mask of their own length.
-Edge cases: null and empty texts or items overlap nothing; repeated rows give repeated decisions; equal items all
+shuffled one of (text key, position, seed), and only texts with a hit are read again for the words around it. Items too short for the masks use one
+contiguous mask of their own length, so an item of one word overlaps every text that holds the word (`min_words` sets another bound).
+Edge cases: null and empty texts or items overlap nothing; very long texts are read whole; ties (several places or items
+that fit alike) all report, a text and an item once, with the best figures; repeated rows give repeated decisions; equal items all
 report; an empty table on either side gives no rows; extra columns are ignored here and pass through `drop_leaks`.
 """
 
@@ -27,7 +28,6 @@ from leafmill.llm.common import content_key, text_or_empty
 
 # The masks; 1 is a position that counts.
 MASKS = ("11011011", "1011010011")
-MIN_WORDS = 5
 
 
 def words(text: Column) -> Column:
@@ -61,13 +61,13 @@ def _extension(agrees: Column) -> Column:
     return F.aggregate(agrees, F.struct(zero.alias("score"), zero.alias("at"), zero.alias("best"), zero.alias("len")), add, lambda acc: acc["len"])
 
 
-def find_overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", reach: int = 64, min_share: float = 0.5, min_run: int = 13, band: int = 8, max_seeds: int = 1 << 22) -> DataFrame:
+def find_overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", reach: int = 64, min_share: float = 0.5, min_run: int = 13, band: int = 8, max_seeds: int = 1 << 22, min_words: int = 1) -> DataFrame:
     """doc_id, node (content key), item_id, matched, compared: the overlap of each text and item, as words of the item that
     the text holds in one place and words of the item."""
     spark = docs.sparkSession
-    items = benchmark.select("item_id", words(text_or_empty("text")).alias("item")).filter(F.size("item") >= MIN_WORDS)
+    items = benchmark.select("item_id", words(text_or_empty("text")).alias("item")).filter(F.size("item") >= max(1, min_words))
     longest = max(map(len, MASKS))
-    short = sorted(r[0] for r in items.filter(F.size("item") < longest).select(F.size("item")).distinct().collect())  # at most longest - 5
+    short = sorted(r[0] for r in items.filter(F.size("item") < longest).select(F.size("item")).distinct().collect())  # fewer than the longest mask has positions
     masks = [(m, None) for m in MASKS] + [("1" * n, n) for n in short]
     parts = []
     for k, (m, n) in enumerate(masks):
@@ -83,15 +83,21 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", rea
     rows = docs.select("doc_id", content_key(text).alias("node"), words(text_or_empty(text)).alias("w"))
     arrays = [F.transform(starts(F.col("w"), m), _seed_of(m)) for m, _ in masks]
     every = rows.select("doc_id", "node", "w", F.concat(*arrays).alias("seeds"))
-    hits = every.select("doc_id", "node", "w", F.posexplode_outer("seeds").alias("p", "seed"))
     hint = F.broadcast if bounded else (lambda x: x)
     first = F.lit(0)  # where the mask's seeds begin in the array
     for k in range(len(masks) - 1, 0, -1):
-        before = sum((F.greatest(F.lit(0), F.size("w") - len(m) + 1) for m, _ in masks[:k]), F.lit(0))
+        before = sum((F.greatest(F.lit(0), F.col("n_words") - len(m) + 1) for m, _ in masks[:k]), F.lit(0))
         first = F.when(F.col("mask") == k, before).otherwise(first)
     i = F.col("p") - first
-    left = F.greatest(F.lit(0), i - reach)
-    pairs = hits.join(hint(seeds), "seed").select("doc_id", "node", "item_id", "j", i.alias("i"), left.alias("left"), F.slice("w", left + 1, 2 * reach).alias("near"))
+    if bounded:
+        hits = every.select("doc_id", "node", "w", F.posexplode_outer("seeds").alias("p", "seed")).join(hint(seeds), "seed").withColumn("n_words", F.size("w"))
+        met = hits.select("doc_id", "node", "item_id", "j", i.alias("i"), "w")
+    else:
+        slim = every.select("node", F.size("w").alias("n_words"), F.posexplode_outer("seeds").alias("p", "seed"))
+        places = slim.join(seeds, "seed").select("node", "item_id", "j", i.alias("i")).distinct()
+        met = rows.join(places, "node")
+    left = F.greatest(F.lit(0), F.col("i") - reach)
+    pairs = met.select("doc_id", "node", "item_id", "j", "i", left.alias("left"), F.slice("w", left + 1, 2 * reach).alias("near"))
     pairs = pairs.join(hint(items), "item_id")
     low = F.greatest(F.lit(0), F.col("j") - reach)
     high = F.least(F.size("item"), F.col("j") + reach)

@@ -26,6 +26,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op1_decontaminate": decontaminate.op1,
         "op2_license_scan": license_scan.OP2_SQL,
     }
