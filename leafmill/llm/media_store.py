@@ -10,7 +10,9 @@ executors need no common local disk). A task names its shards with a fresh ident
 a table, so a task that runs again leaves an unreferenced shard at worst, and no reader sees half a file.
 A digest is stored once for each task that meets it, and the index picks one copy: that needs no shuffle of payloads.
 Edge cases: a null text is the empty payload, padded to one line of 192 spaces; equal payloads get equal values;
-repeated rows stay; an empty table writes no shard; extra columns are not carried (join on the key to get them).
+repeated rows stay, null ids and ids beyond 2**53 as they are; very long texts are one member each (a task holds one at a time);
+ties (copies of a digest in several shards) go to the least shard and offset; an empty table writes no shard; extra columns, whatever
+their names, are not carried (join on the key to get them).
 """
 
 from __future__ import annotations
@@ -138,11 +140,12 @@ def store(docs: DataFrame, text: str = "text", shard_bytes: int = 64 << 20) -> D
                     known[digest] = writer.add(digest, encode_png(payload))
                 rows.append((doc_id, len(raw), digest, *known[digest]))
             yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "digest", "shard", "offset", "length"])
-        writer.close()
+        writer.close()  # after a failure the task runs again, and the shard keeps its .part name
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    body = docs.select(F.col("doc_id"), text_or_empty(text).alias("body"))
-    return materialize(body.mapInPandas(write, f"doc_id {kind}, n_bytes long, digest string, shard string, offset long, length long"))
+    body = docs.select(F.col("doc_id").cast("string").alias("doc_id"), text_or_empty(text).alias("body"))  # as text: pandas would make floats of ids beside a null
+    written = body.mapInPandas(write, "doc_id string, n_bytes long, digest string, shard string, offset long, length long")
+    return materialize(written.withColumn("doc_id", F.col("doc_id").cast(kind)))
 
 
 def members(index: DataFrame) -> DataFrame:
@@ -151,18 +154,37 @@ def members(index: DataFrame) -> DataFrame:
     return one.select("digest", "at.*")
 
 
-def _ranges(batches: Iterator[pd.DataFrame], head: int | None) -> Iterator[tuple[str, int, bytes]]:
-    """(digest, length, the first `head` bytes of the member, or all of it)."""
-    systems, name, src = {}, None, None
-    for part in batches:
-        for digest, shard, offset, length in part.sort_values(["shard", "offset"])[["digest", "shard", "offset", "length"]].itertuples(index=False):
-            if shard != name:
-                root = shard.rpartition("/")[0]
-                if root not in systems:
-                    systems[root] = pafs.FileSystem.from_uri(root)
-                system, base = systems[root]
-                src, name = system.open_input_file(f"{base}/{shard.rpartition('/')[2]}"), shard
-            yield digest, length, src.read_at(min(length, head or length), offset)
+class _ShardReader:
+    """Range reads of members; keeps one shard open at a time."""
+
+    def __init__(self):
+        self.systems, self.name, self.src = {}, None, None
+
+    def close(self) -> None:
+        if self.src is not None:
+            self.src.close()
+        self.name = self.src = None
+
+    def read(self, shard: str, offset: int, n: int) -> bytes:
+        if shard != self.name:
+            self.close()
+            root = shard.rpartition("/")[0]
+            if root not in self.systems:
+                self.systems[root] = pafs.FileSystem.from_uri(root)
+            system, base = self.systems[root]
+            self.src, self.name = system.open_input_file(f"{base}/{shard.rpartition('/')[2]}"), shard
+        return self.src.read_at(n, offset)
+
+
+def _ranges(batches: Iterator[pd.DataFrame], head: int | None) -> Iterator[Iterator[tuple[str, int, bytes]]]:
+    """For each batch, (digest, length, the first `head` bytes of the member, or all of it)."""
+    reader = _ShardReader()
+    try:
+        for part in batches:
+            rows = part.sort_values(["shard", "offset"])[["digest", "shard", "offset", "length"]].itertuples(index=False)
+            yield ((digest, length, reader.read(shard, offset, min(length, head or length))) for digest, shard, offset, length in rows)
+    finally:
+        reader.close()
 
 
 def _spread(found: DataFrame) -> DataFrame:
@@ -174,8 +196,8 @@ def read_headers(found: DataFrame) -> DataFrame:
     """digest, width, height, bits, from range reads of HEADER_BYTES of each member."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in batches:
-            yield pd.DataFrame([(d, *png_header(raw)[:3]) for d, _, raw in _ranges(iter([part]), HEADER_BYTES)], columns=["digest", "width", "height", "bits"])
+        for members in _ranges(batches, HEADER_BYTES):
+            yield pd.DataFrame([(d, *png_header(raw)[:3]) for d, _, raw in members], columns=["digest", "width", "height", "bits"])
 
     return _spread(found).mapInPandas(read, "digest string, width int, height int, bits int")
 
@@ -185,9 +207,9 @@ def read_features(found: DataFrame) -> DataFrame:
     names = ["digest", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in batches:
+        for members in _ranges(batches, None):
             rows = []
-            for digest, length, raw in _ranges(iter([part]), None):
+            for digest, length, raw in members:
                 samples = decode_png(raw)
                 payload = samples.tobytes()
                 if (sha := hashlib.sha256(payload).hexdigest()) != digest:
