@@ -16,7 +16,8 @@ probabilities are then found recursively: the order below first, then the n-gram
 Edge cases: a null text is empty and has the end token only; a context whose n-grams all have high counts keeps
 0.5 / (count + 1) for unseen tokens, the rest scaled to sum to one; with no training rows every token is unknown
 and has probability one; discounts that the counts of counts do not give (none seen, or not in (0, 1)) are 1 - 0.5 / r;
-repeated rows are scored (and counted) each; extra columns are not carried. Very long texts are blocks of their own.
+repeated rows are scored (and counted) each; ties do not arise; an id that is null has no remainder, so its row is not held out and is
+learned from; extra columns are not carried, whatever their names. Very long texts are blocks of their own; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -220,7 +221,7 @@ def _probabilities(b: Block, model: Model, answers: pd.DataFrame, order: int) ->
     return _higher(b, model, answers, order, _probabilities(b, model, answers, order - 1))
 
 
-def score(docs: DataFrame, train: Column, text: str = "text", order: int = 2, k: int = 5, block_tokens: int = 3_000_000, partition_tokens: int = 1_500_000) -> DataFrame:
+def score(docs: DataFrame, train: Column, text: str = "text", order: int = 3, k: int = 5, block_tokens: int = 3_000_000, partition_tokens: int = 1_500_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each row; learns where `train` is true."""
     root = shared_dir(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -308,4 +309,4 @@ def score(docs: DataFrame, train: Column, text: str = "text", order: int = 2, k:
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return score(docs, crc_mod("doc_id", 5) != 1)
+    return score(docs, F.coalesce(crc_mod("doc_id", 5) != 1, F.lit(True)))
