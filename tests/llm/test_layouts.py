@@ -60,7 +60,7 @@ def test_limits_are_optimal():
 
 def test_batches_fit_the_budget(spark, docs_of):
     docs = docs_of([(k, "w " * (k * 7 % 90), "en") for k in range(300)] + [(900, "x " * 700, "en")] + [(5, "same row", "en")] * 40)
-    rows = packing.pack_documents(docs, buckets=5, token_budget=256, cells=8).collect()
+    rows = packing.pack_documents(docs, buckets=5, token_budget=256, cell_rows=8).collect()
     assert len(rows) == 341
     groups = defaultdict(list)
     for r in rows:

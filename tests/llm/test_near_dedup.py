@@ -3,7 +3,8 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from leafmill.llm import graph, near_dedup
+from leafmill.llm import near_dedup
+from leafmill.operators import graph
 
 
 def test_sketch_estimates_probability_jaccard():

@@ -1,7 +1,10 @@
 import hashlib
 import math
 import re
+import textwrap
+from pathlib import Path
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -125,6 +128,37 @@ def test_licences(spark, docs_of):
     assert [tuple(r) for r in license_scan.scan_notices(docs).collect()] == [(2, 1, "CC-BY-NC-4.0")]
 
 
+def wrapped(text, width):
+    """text with its paragraphs filled to a width; those with a copyright notice stay as they are."""
+    return "\n\n".join(p if re.search(r"(?i)copyright \(c\)", p) else textwrap.fill(" ".join(p.split()), width, break_long_words=False, break_on_hyphens=False) for p in re.split(r"\n\s*\n", text))
+
+
+def test_licences_at_all_widths(spark, docs_of):
+    bodies = [(name, body) for name, body in license_scan.KNOWN if "\n" in body]
+    rows = [(i * 1000 + w, "Copyright (c) 2020 A. Person\nCopyright 2021, B. Person\nAll rights reserved.\n\nCopyright C. Person\n\n" + wrapped(body, w), "en") for i, (_, body) in enumerate(bodies) for w in range(40, 101)]
+    got = {r["doc_id"]: r["license_id"] for r in license_scan.scan_licenses(docs_of(rows)).collect()}
+    assert len(got) == len(rows) and all(name == bodies[i // 1000][0] for i, name in got.items())
+
+
+def test_long_licences(spark, docs_of):
+    shelf = Path("/usr/share/common-licenses")
+    known = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    texts = [(want, (shelf / f).read_text(errors="replace")) for f, want in known.items() if (shelf / f).is_file()]
+    if not texts:
+        pytest.skip("no licence texts on this machine")
+    heads = [t for _, t in texts] + [wrapped(t, w) for _, t in texts for w in (46, 61, 77, 100)] + [t + " one word more" for _, t in texts]
+    got = {r["doc_id"]: r["license_id"] for r in license_scan.scan_licenses(docs_of([(i, t, "en") for i, t in enumerate(heads)])).collect()}
+    n = len(texts)
+    assert [got[i] for i in range(n)] == [w for w, _ in texts] and all(got[i] is None for i in range(5 * n, 6 * n))
+    assert [got[n + i] for i in range(4 * n)] == [w for w, _ in texts for _ in range(4)]
+
+
+def test_licences_of_the_caller(spark, docs_of):
+    more = spark.createDataFrame([("House-1", "You may read this.\nNothing else.")], "license_id string, body string")
+    got = license_scan.scan_licenses(docs_of([(1, "YOU may read this; nothing else", "en"), (2, "x", "en")]), more=more).collect()
+    assert {r["doc_id"]: r["license_id"] for r in got} == {1: "House-1", 2: None}
+
+
 def test_no_python_in_the_native_plans(spark, folder_of):
     from leafmill.llm import queries
 
