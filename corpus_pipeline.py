@@ -1,4 +1,9 @@
-"""The corpus pipeline: language ID, near-duplicates, decontamination, secret scan, packing."""
+"""The corpus pipeline: language ID, near-duplicates, decontamination, secret scan, packing.
+
+Every stage but the last takes documents with any columns (doc_id and text among them, other names may be anything) and
+returns the same columns. In all stages: an empty table gives no rows, very long texts are read whole, and rows without a
+doc_id are treated like any others (the language model does not learn from them).
+"""
 
 from __future__ import annotations
 
@@ -6,30 +11,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.llm import decontaminate, language_id, near_dedup, packing, secret_scan
-from leafmill.llm.common import crc_mod, materialize
+from leafmill.llm.common import materialize
 
 SECRET_MARK = "[SECRET]"
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; the model learns from the labelled rows that are not held out."""
-    model = language_id.fit(docs, training=crc_mod("doc_id", 4) != 2)
+    """Documents whose language is recognised; the model learns from the labelled rows that are not held out.
+
+    Null texts and texts without a letter go; ties go to the language that sorts first; repeated rows stay or go alike.
+    Where no row has a label, nothing is recognised and all go.
+    """
+    model = language_id.fit(docs, training=~language_id.held_out())
     rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col("text"))
     return language_id.identify(rows, model).filter(~F.col("rejected")).select("_row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates: the one with the least doc_id."""
+    """One document of each class of near-duplicates: the one with the least doc_id.
+
+    Null texts all stay; empty texts are copies of each other; a tie (rows that repeat an id and a text) keeps one row;
+    a null id comes after all others.
+    """
     return near_dedup.keep_first(docs)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of the benchmark."""
+    """Documents that hold no passage of the benchmark.
+
+    Null and empty texts stay; repeated rows stay or go alike; an empty benchmark leaves all. Ties do not arise.
+    """
     return decontaminate.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with a mark in place of each secret; n_chars follows the text."""
+    """All documents, with a mark in place of each secret; n_chars follows the text.
+
+    Null texts stay null; of spans that overlap (ties) the first decides; repeated rows are changed alike.
+    """
     rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col("text"))
     found = secret_scan.scan_secrets(rows, redact=SECRET_MARK)
     row = F.col("_row").withField("text", F.col("text"))
@@ -40,7 +59,10 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack_lengths(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, bucket, bucket_len, batch and place of each document."""
+    """doc_id, n_tokens, bucket, bucket_len, batch and place of each document.
+
+    A null or empty text has one token (the end); repeated rows get a place each; ties in length go by doc_id.
+    """
     return packing.pack_documents(docs)
 
 
