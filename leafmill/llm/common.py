@@ -1,32 +1,15 @@
-"""Shared helpers: materialised tables, row ranking, shared-folder files."""
+"""Shared helpers: row ranking, word hashes; the tables in the shared folder come from the core."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-_local_dirs: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """A new path below spark.checkpoint.dir; a temporary folder only where that setting is absent (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    app = spark.sparkContext.applicationId
-    if not base:
-        base = _local_dirs.setdefault(app, "file://" + tempfile.mkdtemp(prefix="leafmill-"))
-    return f"{base.rstrip('/')}/leafmill-{app}/{uuid.uuid4().hex}"
+from leafmill.tables import discard, materialize, shared_dir
 
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: cuts the lineage, survives lost executors."""
-    path = shared_dir(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["discard", "materialize", "shared_dir"]
 
 
 def text_or_empty(column: str = "text") -> Column:
@@ -43,18 +26,26 @@ def content_key(column: str = "text") -> Column:
     return F.unhex(F.md5(text_or_empty(column).cast("binary")))
 
 
-def ranked_runs(df: DataFrame, part: str, keys: list[str], cell: Column) -> tuple[DataFrame, DataFrame]:
-    """Distributed dense ranking of rows inside each value of `part`, with no task holding a whole part.
+def keyed(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
+    """The columns `keys` under helper names, so that no name of the caller's meets one of ours."""
+    names = [f"_k{i}" for i in range(len(keys))]
+    return df.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]), names
+
+
+def ranked_runs(df: DataFrame, part: str, keys: list[str], cells: int) -> DataFrame:
+    """Distributed ranking of rows inside each value of `part`, with no task holding a whole part.
 
-    Equal rows collapse to one run with a multiplicity `cnt` (so a row repeated for a third of the table is
-    one record). Runs are dealt by (part, cell); a window orders each cell, and the offsets of the cells are
-    added afterwards. Returns (runs with `cell`, `start_in_cell`, `cnt`; cell totals `cell_rows`).
+    Equal rows collapse to one run with a multiplicity `cnt` (so a row repeated for a third of the table is one record).
+    Runs are dealt by (part, cell), the cell being a hash of the keys; a window orders each cell, and the rows of the
+    cells before it are added afterwards. Returns the runs with `start`, the rank (from 0) of a run's first row.
     """
-    runs = df.groupBy(part, *keys).agg(F.count(F.lit(1)).alias("cnt")).withColumn("cell", cell)
-    w = W.partitionBy(part, "cell").orderBy(*keys).rowsBetween(W.unboundedPreceding, W.currentRow)
-    placed = runs.withColumn("start_in_cell", F.sum("cnt").over(w) - F.col("cnt"))
-    totals = runs.groupBy(part, "cell").agg(F.sum("cnt").alias("cell_rows"))
-    return placed, totals
+    runs = df.groupBy(part, *keys).agg(F.count(F.lit(1)).alias("cnt")).withColumn("_cell", F.pmod(F.xxhash64(*keys), F.lit(cells)).cast("int"))
+    w = W.partitionBy(part, "_cell").orderBy(*keys).rowsBetween(W.unboundedPreceding, W.currentRow)
+    placed = runs.withColumn("_in_cell", F.sum("cnt").over(w) - F.col("cnt"))
+    totals = runs.groupBy(part, "_cell").agg(F.sum("cnt").alias("_rows"))
+    before = W.partitionBy(part).orderBy("_cell").rowsBetween(W.unboundedPreceding, W.currentRow)
+    offsets = totals.withColumn("_before", F.sum("_rows").over(before) - F.col("_rows")).drop("_rows")  # a row for each cell
+    return placed.join(offsets, [part, "_cell"]).withColumn("start", F.col("_before") + F.col("_in_cell")).drop("_cell", "_in_cell", "_before")
 
 
 def expand_runs(df: DataFrame, start: str, count: str, out: str, chunk: int = 50_000) -> DataFrame:

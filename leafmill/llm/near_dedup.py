@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from leafmill.llm.common import WORD_BYTES, content_key, materialize, mix64, word_hashes
-from leafmill.llm.graph import components, relabel
+from leafmill.operators.graph import components, relabel
 
 WIDTH = 5
 _ODD = mix64(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)

@@ -3,11 +3,14 @@
 The global histogram of lengths is built by one aggregation; dynamic programming over it chooses at most `buckets`
 upper limits that minimise the padding of all rows; inside each bucket rows form batches of at most `token_budget`
 padded tokens (one row where the limit alone exceeds the budget).
-Lengths up to 2**`exact_bits` are exact in the histogram; above, they are rounded up to `exact_bits` significant
-bits (an error under 1/2048 by default), at every input size alike, which bounds the histogram on the driver.
-Ranks inside a bucket are built from cells, so no task holds a bucket, and equal rows are one run.
+Lengths up to 2**`exact_bits` are exact in the histogram; above, they fall into classes of `exact_bits` significant
+bits (under 1/2048 wide by default), at every input size alike, which bounds the histogram on the driver. A class is
+laid out at its longest length that occurs, so a limit is always the exact length of the bucket's longest row, and the
+padding is optimal up to the width of the classes above 2**`exact_bits` (exactly where no row is that long).
+Ranks inside a bucket are built from cells, so no task holds a bucket, and equal rows are one run; cells grow in number with the rows.
 Edge cases: null and empty texts have length 1 (the end token); one very long text gets its own limit or shares the
-last; repeated rows get a place each; ties go to the smaller limit; an empty table gives no rows.
+last; repeated rows get a place each; ties go to the smaller limit; an empty table gives no rows; `keys` may have any names (columns
+called bucket, bucket_len, batch or place give way to the results); other columns are not carried.
 """
 
 from __future__ import annotations
@@ -15,9 +18,8 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
-from leafmill.llm.common import expand_runs, materialize, ranked_runs, text_or_empty
+from leafmill.llm.common import expand_runs, keyed, materialize, ranked_runs, text_or_empty
 
 
 def word_count(text: str = "text") -> Column:
@@ -26,7 +28,7 @@ def word_count(text: str = "text") -> Column:
 
 
 def rounded_up(length: Column, exact_bits: int) -> Column:
-    """length, above 2**exact_bits rounded up to that many significant bits."""
+    """The class of a length: above 2**exact_bits rounded up to that many significant bits."""
     step = F.shiftleft(F.lit(1).cast("long"), 0)
     for bit in range(exact_bits, 63):
         step = F.when(length > (1 << bit), F.lit(1 << (bit - exact_bits + 1)).cast("long")).otherwise(step)
@@ -71,24 +73,26 @@ def best_limits(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[i
     return out[::-1]
 
 
-def pack(rows: DataFrame, length: str, keys: list[str], buckets: int = 16, token_budget: int = 65_536, exact_bits: int = 12, cells: int = 1024) -> DataFrame:
+RESULTS = ("bucket", "bucket_len", "batch", "place")
+
+
+def pack(rows: DataFrame, length: str, keys: list[str], buckets: int = 16, token_budget: int = 65_536, exact_bits: int = 12, cell_rows: int = 50_000) -> DataFrame:
     """The columns `keys` of each row (length among them) with bucket, bucket_len, batch and place in the batch."""
-    spark = rows.sparkSession
-    grid = rounded_up(F.col(length), exact_bits)
-    histogram = rows.groupBy(grid.alias("len")).agg(F.count(F.lit(1)).alias("n")).collect()  # bounded by the grid
+    own, names = keyed(rows, keys)
+    size = F.col(names[keys.index(length)])
+    histogram = own.groupBy(rounded_up(size, exact_bits).alias("class")).agg(F.count(F.lit(1)).alias("n"), F.max(size).alias("len")).collect()  # bounded by the classes
     histogram.sort(key=lambda r: r["len"])
     limits = best_limits(np.array([r["len"] for r in histogram], dtype=np.float64), np.array([r["n"] for r in histogram]), buckets)
     bucket, bucket_len = F.lit(len(limits) - 1), F.lit(limits[-1] if limits else 0).cast("long")
     for k in range(len(limits) - 2, -1, -1):
-        bucket = F.when(F.col(length) <= limits[k], k).otherwise(bucket)
-        bucket_len = F.when(F.col(length) <= limits[k], F.lit(limits[k]).cast("long")).otherwise(bucket_len)
-    runs, totals = ranked_runs(rows.select(*keys).withColumn("bucket", bucket.cast("int")), "bucket", keys, F.pmod(F.xxhash64(*keys), F.lit(cells)).cast("int"))
-    w = W.partitionBy("bucket").orderBy("cell").rowsBetween(W.unboundedPreceding, W.currentRow)
-    offsets = totals.withColumn("offset", F.sum("cell_rows").over(w) - F.col("cell_rows")).drop("cell_rows")  # buckets x cells rows
-    placed = runs.join(F.broadcast(offsets), ["bucket", "cell"]).withColumn("start", F.col("offset") + F.col("start_in_cell"))
-    each = expand_runs(placed.select(*keys, "bucket", "start", "cnt"), "start", "cnt", "rank").withColumn("bucket_len", bucket_len)
+        bucket = F.when(size <= limits[k], k).otherwise(bucket)
+        bucket_len = F.when(size <= limits[k], F.lit(limits[k]).cast("long")).otherwise(bucket_len)
+    cells = max(16, sum(r["n"] for r in histogram) // cell_rows)
+    runs = ranked_runs(own.withColumn("bucket", bucket.cast("int")), "bucket", names, cells)
+    each = expand_runs(runs, "start", "cnt", "rank").withColumn("bucket_len", bucket_len)
     per_batch = F.greatest(F.lit(1).cast("long"), F.floor(F.lit(token_budget) / F.col("bucket_len")))
-    return each.select(*keys, "bucket", "bucket_len", F.floor(F.col("rank") / per_batch).alias("batch"), F.pmod("rank", per_batch).alias("place"))
+    kept = [F.col(n).alias(k) for k, n in zip(keys, names, strict=True) if k not in RESULTS]
+    return each.select(*kept, "bucket", "bucket_len", F.floor(F.col("rank") / per_batch).alias("batch"), F.pmod("rank", per_batch).alias("place"))
 
 
 def pack_documents(docs: DataFrame, **options) -> DataFrame:

@@ -7,9 +7,11 @@ is guaranteed, and with one more shard only the keys whose arc changes owner, or
 
 Scale: the driver sees the row count of each arc (`points` numbers, whatever the input) and returns at most
 `points` + `points` / arc pieces; these two bounded tables are the only broadcasts. Ranks inside an arc come from
-a window over the arc's own rows; equal rows are one run with a multiplicity, so no key or group of copies is hot.
-Edge cases: null keys share one place on the ring; a null text has size 16 and the checksum of no bytes; repeated
-rows get a slot each; ties on the ring are broken by the key columns; an empty table gives no rows.
+windows over cells of the arc; equal rows are one run with a multiplicity. So neither a group of copies nor a key that
+many different rows share (or that is null) is one task's work.
+Edge cases: null keys share one place on the ring; a null text has size 16 and the checksum of no bytes; of a very long text only
+size and checksum move; repeated rows get a slot each; ties on the ring are broken by a hash of the key columns, then by their order;
+an empty table gives no rows; `keys` may have any names (columns called shard or slot give way to the results); others are not carried.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import expand_runs, materialize, ranked_runs, text_or_empty
+from leafmill.llm.common import expand_runs, keyed, materialize, ranked_runs, text_or_empty
 
 PIECES = "arc int, piece_from long, piece_to long, shard int, slot_base long"
 
@@ -65,19 +67,21 @@ def place(counts: dict[int, int], owners: list[int], shards: int) -> list[tuple[
     return out
 
 
-def shard_rows(rows: DataFrame, key: str, keys: list[str], shards: int = 40, vnodes: int = 64, points: int = 16384) -> DataFrame:
+def shard_rows(rows: DataFrame, key: str, keys: list[str], shards: int = 40, vnodes: int = 64, points: int = 16384, cells: int = 64) -> DataFrame:
     """The columns `keys` of each row (key among them) with shard and slot; slots of a shard run from 0 without gaps."""
     spark = rows.sparkSession
-    # an arc is one of `points` slices of the ring, so its rows are a bounded share of the table
-    arc = F.pmod(F.xxhash64(F.lit("key"), F.col(key)), F.lit(points)).cast("int")
-    runs, totals = ranked_runs(rows.select(*keys).withColumn("arc", arc), "arc", keys, F.lit(0))
-    counts = {r["arc"]: r["cell_rows"] for r in totals.collect()}  # at most `points` rows
+    own, names = keyed(rows, keys)
+    # an arc is one of `points` slices of the ring
+    own = own.withColumn("arc", F.pmod(F.xxhash64(F.lit("key"), F.col(names[keys.index(key)])), F.lit(points)).cast("int"))
+    counts = {r["arc"]: r["count"] for r in own.groupBy("arc").count().collect()}  # at most `points` rows
+    runs = ranked_runs(own, "arc", names, cells)
     pieces = place(counts, ring_owners(spark, shards, vnodes, points), shards)
     table = F.broadcast(spark.createDataFrame(pieces, PIECES))
-    end = F.col("start_in_cell") + F.col("cnt")
-    hit = runs.join(table, "arc").filter((F.col("start_in_cell") < F.col("piece_to")) & (end > F.col("piece_from")))
-    hit = hit.select(*keys, "shard", (F.greatest("start_in_cell", "piece_from") - F.col("piece_from") + F.col("slot_base")).alias("first_slot"), (F.least(end, F.col("piece_to")) - F.greatest("start_in_cell", "piece_from")).alias("n_slots"))
-    return expand_runs(hit, "first_slot", "n_slots", "slot").drop("first_slot", "n_slots")
+    end = F.col("start") + F.col("cnt")
+    hit = runs.join(table, "arc").filter((F.col("start") < F.col("piece_to")) & (end > F.col("piece_from")))
+    hit = hit.select(*names, "shard", (F.greatest("start", "piece_from") - F.col("piece_from") + F.col("slot_base")).alias("first_slot"), (F.least(end, F.col("piece_to")) - F.greatest("start", "piece_from")).alias("n_slots"))
+    out = expand_runs(hit, "first_slot", "n_slots", "slot")
+    return out.select(*[F.col(n).alias(k) for k, n in zip(keys, names, strict=True) if k not in ("shard", "slot")], "shard", "slot")
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
