@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -57,6 +59,12 @@ def expand_runs(df: DataFrame, start: str, count: str, out: str, chunk: int = 50
     return single.unionByName(cut.withColumn(out, F.explode(F.sequence("_from", "_to"))).drop("_from", "_to"))
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of plans that nothing refers to any more; it acts on the JVM's collections."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 WORD_BYTES = np.zeros(256, dtype=bool)
 WORD_BYTES[list(b"abcdefghijklmnopqrstuvwxyz0123456789")] = True
 WORD_BYTES[128:] = True

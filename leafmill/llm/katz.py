@@ -10,7 +10,9 @@ Tables. A task reads texts into blocks of about `block_tokens` tokens, kept as f
 model (n-gram counts; sums by context) is partitioned by ranges of a 64-bit hash: every block sends each partition its
 own distinct keys once, as one packed row, with its counts; the partition adds them up over all blocks and answers
 each block with the totals of just its keys. So a token costs a few bytes of shuffle, frequent words are one key a
-block and make no partition hot, and no table of the model is ever on the driver or broadcast. Block by block the
+block and make no partition hot, and no table of the model is ever on the driver or broadcast. For the sums, the first block
+that has an n-gram speaks for it: it sends the lower-order probability in whole units of 2**-44 and its class of counts, so a
+context costs a few bytes, and sums do not depend on the order of blocks. Block by block the
 probabilities are then found recursively: the order below first, then the n-gram where it was seen, else alpha times that.
 
 Edge cases: a null text is empty and has the end token only; a context whose n-grams all have high counts keeps
@@ -33,13 +35,14 @@ from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import SPACE_BYTES, crc_mod, materialize, mix64, shared_dir, text_or_empty, word_hashes
+from leafmill.llm.common import SPACE_BYTES, crc_mod, materialize, mix64, release, shared_dir, text_or_empty, word_hashes
 
 END = np.uint64(0x5F0E1D2C3B4A6978)
 BEGIN = mix64(np.arange(1, 17, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-REQUEST = "p int, block string, keys binary, v0 binary, v1 binary, v2 binary"
-ANSWER = "block string, p int, table int, a0 binary, a1 binary, a2 binary, stats array<long>"
+REQUEST = "p int, block string, keys binary, v0 binary, v1 binary"
+ANSWER = "block string, p int, table int, a0 binary, a1 binary, stats array<long>"
+UNIT = 2.0**44  # probabilities of the order below are added up as whole multiples of 1 / UNIT, in any order to the same sum
 
 
 def pack(x: np.ndarray) -> bytes:
@@ -139,53 +142,66 @@ def _pieces(block: str, keys: np.ndarray, bits: int, values: list[np.ndarray]) -
     """A packed row for each partition that has keys."""
     part = (keys >> np.uint64(64 - bits)).astype(np.int64)
     edge = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
-    return [(int(part[a]), block, pack_keys(keys[a:b]), *[pack(v[a:b]) for v in values], *[None] * (3 - len(values))) for a, b in zip(edge[:-1], edge[1:], strict=True)]
+    return [(int(part[a]), block, pack_keys(keys[a:b]), *[pack(v[a:b].ravel()) for v in values], *[None] * (2 - len(values))) for a, b in zip(edge[:-1], edge[1:], strict=True)]
 
 
 def _requests(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["p", "block", "keys", "v0", "v1", "v2"])
+    return pd.DataFrame(rows, columns=["p", "block", "keys", "v0", "v1"])
 
 
 def _answers(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["block", "p", "table", "a0", "a1", "a2", "stats"])
+    return pd.DataFrame(rows, columns=["block", "p", "table", "a0", "a1", "stats"])
 
 
 def _count_table(requests: DataFrame, table: int, k: int) -> DataFrame:
-    """A partition of n-gram counts adds up what the blocks sent and answers them; one row has its statistics."""
+    """A partition of n-gram counts adds up what the blocks sent and answers them with the totals and with whether the
+    block is the first that has the n-gram (it speaks for it later); one row has the partition's statistics."""
 
     def serve(part: pd.DataFrame) -> pd.DataFrame:
         keys = [unpack_keys(x) for x in part["keys"]]
         counts = np.concatenate([unpack(x, "i8") for x in part["v0"]])
-        unique, place = np.unique(np.concatenate(keys), return_inverse=True)
+        unique, first, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
         total = np.bincount(place, weights=counts, minlength=len(unique)).astype(np.int64)
+        speaks = np.zeros(len(place), dtype=bool)
+        speaks[first] = True
         seen = total[total > 0]
         stats = [int(seen.sum()), len(seen), *np.bincount(np.minimum(seen, k + 2), minlength=k + 3)[1 : k + 2].tolist()]
         at = np.concatenate(([0], np.cumsum([len(x) for x in keys])))
-        rows = [(b, int(part["p"].iloc[0]), table, pack(total[place[s:e]]), None, None, None) for b, s, e in zip(part["block"], at[:-1], at[1:], strict=True)]
-        return _answers([*rows, (None, int(part["p"].iloc[0]), table, None, None, None, stats)])
+        rows = [(b, int(part["p"].iloc[0]), table, pack(total[place[s:e]]), pack(speaks[s:e].astype(np.uint8)), None) for b, s, e in zip(part["block"], at[:-1], at[1:], strict=True)]
+        return _answers([*rows, (None, int(part["p"].iloc[0]), table, None, None, stats)])
 
     return materialize(requests.groupBy("p").applyInPandas(serve, ANSWER))
 
 
-def _context_table(requests: DataFrame, table: int) -> DataFrame:
-    """A partition of context sums answers alpha, the factor of seen probabilities, and the context's count."""
+def _context_table(requests: DataFrame, table: int, k: int) -> DataFrame:
+    """A partition of contexts adds up, and answers to each block, the lower-order probability (in units) of the n-grams
+    seen after a context, how many of them have count 1 .. k, and the counts above k together."""
 
     def serve(part: pd.DataFrame) -> pd.DataFrame:
         keys = [unpack_keys(x) for x in part["keys"]]
         unique, place = np.unique(np.concatenate(keys), return_inverse=True)
-        add = lambda column, kind: np.bincount(place, weights=np.concatenate([unpack(x, kind) for x in part[column]]), minlength=len(unique))
-        mass, lower, count = add("v0", "f8"), add("v1", "f8"), add("v2", "i8")
-        seen = mass / np.maximum(count, 1)
-        left = np.maximum(1 - seen, 0.5 / (count + 1))
-        alpha = np.where(count > 0, left / np.maximum(1 - lower, 1e-300), 1.0)
-        factor = np.where((count > 0) & (left > 1 - seen), (1 - left) / np.where(seen > 0, seen, 1), 1.0)
+        add = lambda v: np.bincount(place, weights=v, minlength=len(unique)).astype(np.int64)  # noqa: E731  whole numbers below 2**53
+        lower = add(np.concatenate([unpack(x, "i8") for x in part["v0"]]))
+        sent = np.concatenate([unpack(x, "i8").reshape(-1, k + 1) for x in part["v1"]])
+        kinds = np.stack([add(sent[:, r]) for r in range(k + 1)], axis=1)
         at = np.concatenate(([0], np.cumsum([len(x) for x in keys])))
-        out = [(b, int(part["p"].iloc[0]), table, *[pack(x[place[s:e]]) for x in (alpha, factor, count.astype(np.int64))], None) for b, s, e in zip(part["block"], at[:-1], at[1:], strict=True)]
-        return _answers(out)
+        return _answers([(b, int(part["p"].iloc[0]), table, pack(lower[place[s:e]]), pack(kinds[place[s:e]].ravel()), None) for b, s, e in zip(part["block"], at[:-1], at[1:], strict=True)])
 
     return requests.groupBy("p").applyInPandas(serve, ANSWER)
 
 
+def _weights(lower: np.ndarray, kinds: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(alpha, the factor of seen probabilities, the count) of contexts."""
+    k = kinds.shape[1] - 1
+    r = np.arange(1, k + 1)
+    count = kinds[:, :k] @ r + kinds[:, k]
+    seen = (kinds[:, :k] @ (r * d[1 : k + 1]) + kinds[:, k]) / np.maximum(count, 1)
+    left = np.maximum(1 - seen, 0.5 / (count + 1))
+    alpha = np.where(count > 0, left / np.maximum(1 - lower / UNIT, 1e-300), 1.0)
+    factor = np.where((count > 0) & (left > 1 - seen), (1 - left) / np.where(seen > 0, seen, 1), 1.0)
+    return alpha, factor, count
+
+
 def _read(root: str, block: str) -> Block:
     system, base = pafs.FileSystem.from_uri(root)
     with system.open_input_file(f"{base}/{block}") as f:
@@ -209,9 +225,11 @@ def _higher(b: Block, model: Model, answers: pd.DataFrame, order: int, below: np
     """The probability of each token given the order - 1 before it, from that of the order below."""
     _, place, _ = b.keys(order)
     c = _table(answers, 2 * order, "a0", "i8")[place]
+    del place
     _, at = np.unique(b.context(order), return_inverse=True)
-    alpha, factor, count = (_table(answers, 2 * order + 1, a, kind)[at] for a, kind in (("a0", "f8"), ("a1", "f8"), ("a2", "i8")))
-    return np.where(c > 0, model.discounted(order, c) * factor / np.maximum(count, 1), alpha * below)
+    kinds = _table(answers, 2 * order + 1, "a1", "i8").reshape(-1, model.k + 1)
+    alpha, factor, count = _weights(_table(answers, 2 * order + 1, "a0", "i8"), kinds, model.d[order])
+    return np.where(c > 0, model.discounted(order, c) * factor[at] / np.maximum(count[at], 1), alpha[at] * below)
 
 
 def _probabilities(b: Block, model: Model, answers: pd.DataFrame, order: int) -> np.ndarray:
@@ -221,7 +239,7 @@ def _probabilities(b: Block, model: Model, answers: pd.DataFrame, order: int) ->
     return _higher(b, model, answers, order, _probabilities(b, model, answers, order - 1))
 
 
-def score(docs: DataFrame, train: Column, text: str = "text", order: int = 3, k: int = 5, block_tokens: int = 3_000_000, partition_tokens: int = 1_500_000) -> DataFrame:
+def score(docs: DataFrame, train: Column, text: str = "text", order: int = 3, k: int = 5, block_tokens: int = 2_500_000, partition_tokens: int = 1_500_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each row; learns where `train` is true."""
     root = shared_dir(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -261,6 +279,7 @@ def score(docs: DataFrame, train: Column, text: str = "text", order: int = 3, k:
     cut = blocks.select("block").repartition(dealt, "block")
 
     def learned(answers: DataFrame, level: int) -> DataFrame:
+        release(docs.sparkSession)  # the answers are written, so what was shuffled for them is not needed again
         sums = [F.sum(F.get("stats", i)).alias(f"s{i}") for i in range(k + 3)]
         model.learn(level, np.array([x or 0 for x in answers.filter(F.col("block").isNull()).agg(*sums).first()]))
         return answers.filter(F.col("block").isNotNull())
@@ -282,19 +301,26 @@ def score(docs: DataFrame, train: Column, text: str = "text", order: int = 3, k:
 
         def sums(name: str, b: Block, known: pd.DataFrame, level: int = level) -> pd.DataFrame:
             below = _probabilities(b, model, known, level - 1)
-            keys, place, own = b.keys(level)
+            keys, place, _ = b.keys(level)
             total = _table(known, 2 * level, "a0", "i8")
             where = np.zeros(len(keys), dtype=np.int64)
             where[place] = np.arange(len(place))  # some token that ends each n-gram
-            share = own / np.maximum(total, 1)  # the blocks' shares of an n-gram add up to one
+            del keys, place
             contexts, at = np.unique(b.context(level), return_inverse=True)
+            mine = (_table(known, 2 * level, "a1", "u1") > 0) & (total > 0)
+            total, where = total[mine], where[mine]
             at = at[where]
-            add = lambda v: np.bincount(at, weights=v, minlength=len(contexts))
-            mass, lower, n = add(share * model.discounted(level, total)), add(share * below[where]), add(own.astype(np.float64))
-            return _requests(_pieces(name, contexts, bits, [mass, lower, n.astype(np.int64)]))
+            lower = np.bincount(at, weights=np.rint(below[where] * UNIT), minlength=len(contexts)).astype(np.int64)
+            kinds = np.empty((len(contexts), k + 1), dtype=np.int64)
+            for r in range(1, k + 1):
+                kinds[:, r - 1] = np.bincount(at[total == r], minlength=len(contexts))
+            more = total > k
+            kinds[:, k] = np.bincount(at[more], weights=total[more], minlength=len(contexts))
+            return _requests(_pieces(name, contexts, bits, [lower, kinds]))
 
         answers = answers.unionByName(counted(level))
-        answers = answers.unionByName(materialize(_context_table(each(answers, sums, REQUEST), 2 * level + 1)))
+        answers = answers.unionByName(materialize(_context_table(each(answers, sums, REQUEST), 2 * level + 1, k)))
+        release(docs.sparkSession)
 
     def final(_: str, b: Block, known: pd.DataFrame) -> pd.DataFrame:
         p = _probabilities(b, model, known, order)

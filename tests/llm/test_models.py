@@ -9,34 +9,39 @@ import numpy as np
 from leafmill.llm import katz, language_id
 
 
-def katz_brute(texts, train, k=5):
+def katz_brute(texts, train, order, k=5):
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     docs = [re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(low)) + ["</s>"] for t in texts]
-    uni = Counter(w for d, m in zip(docs, train, strict=True) if m for w in d)
-    bi = Counter(p for d, m in zip(docs, train, strict=True) if m for p in zip(["<s>", *d[:-1]], d, strict=True))
+    before = lambda d, i, n: tuple(d[j] if j >= 0 else "<s>" for j in range(i - n + 1, i))
+    counts = {n: Counter((*before(d, i, n), w) for d, m in zip(docs, train, strict=True) if m for i, w in enumerate(d)) for n in range(1, order + 1)}
+    uni = {w: c for (w,), c in counts[1].items()}
     total, types = sum(uni.values()), len(uni)
-    cc = lambda c: [Counter(c.values())[r] for r in range(1, k + 2)]
-    d1, d2 = katz.discounts(cc(uni), k), katz.discounts(cc(bi), k)
-    after, ctx = defaultdict(dict), Counter()
-    for (a, b), c in bi.items():
-        after[a][b] = c
-        ctx[a] += c
-    seen = sum(d1[min(c, k + 1)] * c for c in uni.values()) / total
+    d = {n: katz.discounts([Counter(c.values())[r] for r in range(1, k + 2)], k) for n, c in counts.items()}
+    after = {n: defaultdict(dict) for n in counts}
+    for n, c in counts.items():
+        for gram, x in c.items():
+            after[n][gram[:-1]][gram[-1]] = x
+    seen = sum(d[1][min(c, k + 1)] * c for c in uni.values()) / total
     unknown = max(1 - seen, 0.5 / (total + 0.5 * (types + 1)))
-    p1 = lambda w: d1[min(uni[w], k + 1)] * uni[w] / total * (1 - unknown) / seen if uni[w] else unknown
 
-    def p2(a, b):
-        if a not in ctx:
-            return p1(b)
-        mass = sum(d2[min(c, k + 1)] * c for c in after[a].values()) / ctx[a]
-        left = max(1 - mass, 0.5 / (ctx[a] + 1))
-        if b in after[a]:
-            return d2[min(after[a][b], k + 1)] * after[a][b] / ctx[a] * (1 - left) / mass
-        return left / (1 - sum(map(p1, after[a]))) * p1(b)
-
-    for a in [*ctx, "never seen"]:
-        assert abs(sum(p2(a, b) for b in uni) + p2(a, "unknown word") - 1) < 1e-9
-    return [sum(math.log10(p2(a, b)) for a, b in zip(["<s>", *d[:-1]], d, strict=True)) for d in docs]
+    def p(ctx, w):
+        n = len(ctx) + 1
+        if n == 1:
+            return d[1][min(uni[w], k + 1)] * uni[w] / total * (1 - unknown) / seen if w in uni else unknown
+        if ctx not in after[n]:
+            return p(ctx[1:], w)
+        own = after[n][ctx]
+        all_ = sum(own.values())
+        mass = sum(d[n][min(c, k + 1)] * c for c in own.values()) / all_
+        left = max(1 - mass, 0.5 / (all_ + 1))
+        if w in own:
+            return d[n][min(own[w], k + 1)] * own[w] / all_ * (1 - left) / mass
+        return left / (1 - sum(p(ctx[1:], x) for x in own)) * p(ctx[1:], w)
+
+    for n in range(2, order + 1):
+        for ctx in [*after[n], ("never seen",) * (n - 1)]:
+            assert abs(sum(p(ctx, w) for w in uni) + p(ctx, "unknown word") - 1) < 1e-9
+    return [sum(math.log10(p(before(d_, i, order), w)) for i, w in enumerate(d_)) for d_ in docs]
 
 
 def test_katz_matches_brute_force_and_sums_to_one(spark, docs_of):
@@ -47,9 +52,10 @@ def test_katz_matches_brute_force_and_sums_to_one(spark, docs_of):
     texts = [" ".join(random.choices(words, range(len(words), 0, -1), k=random.randrange(0, 40))) for _ in range(60)] + [None, "", "new words only"]
     train = [k % 3 != 0 for k in range(len(texts))]
     docs = docs_of([(k, t, "en") for k, t in enumerate(texts)])
-    got = {r["doc_id"]: r for r in katz.score(docs, F.col("doc_id") % 3 != 0, block_tokens=100, partition_tokens=50).collect()}
-    want = katz_brute(texts, train)
-    assert len(got) == len(texts) and all(abs(got[k]["score"] - want[k]) < 1e-8 for k in got)
+    for order in (2, 3):
+        got = {r["doc_id"]: r for r in katz.score(docs, F.col("doc_id") % 3 != 0, order=order, block_tokens=100, partition_tokens=50).collect()}
+        want = katz_brute(texts, train, order)
+        assert len(got) == len(texts) and all(abs(got[k]["score"] - want[k]) < 1e-8 for k in got)
 
 
 def test_katz_trigrams_beat_unigrams_and_are_finite(spark, docs_of):
