@@ -27,11 +27,19 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/leafmill-{app}/{uuid.uuid4().hex}"
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back."""
-    path = shared_dir(df.sparkSession)
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write df as Parquet in the shared folder and read it back; what was shuffled to write it is removed at once."""
+    spark, path = df.sparkSession, shared_dir(df.sparkSession)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
     _paths[out] = path
     return out
 
