@@ -35,7 +35,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import SPACE_BYTES, crc_mod, materialize, mix64, release, shared_dir, text_or_empty, word_hashes
+from leafmill.llm.common import SPACE_BYTES, crc_mod, materialize, mix64, shared_dir, text_or_empty, word_hashes
 
 END = np.uint64(0x5F0E1D2C3B4A6978)
 BEGIN = mix64(np.arange(1, 17, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
@@ -132,10 +132,18 @@ class Block:
         out[self.starts] = BEGIN[order]
         return out
 
-    def keys(self, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct n-grams, the place of each token's n-gram among them, and their counts in training texts."""
-        keys, place = (self.vocab, self.word) if order == 1 else np.unique(self.gram(order), return_inverse=True)
-        return keys, place, np.bincount(place[self.in_training], minlength=len(keys))
+    def distinct(self, order: int) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct n-grams in order and the place of each token's n-gram among them."""
+        return (self.vocab, self.word) if order == 1 else np.unique(self.gram(order), return_inverse=True)
+
+    def contexts(self, order: int, keys: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The keys of contexts and the place of each token's among them, from `distinct(order - 1)`: the n-grams and the begin mark."""
+        begin = int(np.searchsorted(keys, BEGIN[order]))
+        at = np.empty(len(place), dtype=np.int64)
+        at[1:] = place[:-1]
+        at += at >= begin
+        at[self.starts] = begin
+        return np.insert(keys, begin, BEGIN[order]), at
 
 
 def _pieces(block: str, keys: np.ndarray, bits: int, values: list[np.ndarray]) -> list[tuple]:
@@ -221,22 +229,18 @@ def _unigrams(b: Block, model: Model, c: np.ndarray) -> np.ndarray:
     return p[b.word]
 
 
-def _higher(b: Block, model: Model, answers: pd.DataFrame, order: int, below: np.ndarray) -> np.ndarray:
-    """The probability of each token given the order - 1 before it, from that of the order below."""
-    _, place, _ = b.keys(order)
-    c = _table(answers, 2 * order, "a0", "i8")[place]
-    del place
-    _, at = np.unique(b.context(order), return_inverse=True)
+def _probabilities(b: Block, model: Model, answers: pd.DataFrame, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The probability of each token given the order - 1 before it, recursively from that of the order below; and
+    `distinct(order)` of the block, which the order above needs."""
+    if order == 1:
+        return _unigrams(b, model, _table(answers, 2, "a0", "i8")), *b.distinct(1)
+    below, keys, place = _probabilities(b, model, answers, order - 1)
+    _, at = b.contexts(order, keys, place)
     kinds = _table(answers, 2 * order + 1, "a1", "i8").reshape(-1, model.k + 1)
     alpha, factor, count = _weights(_table(answers, 2 * order + 1, "a0", "i8"), kinds, model.d[order])
-    return np.where(c > 0, model.discounted(order, c) * factor[at] / np.maximum(count[at], 1), alpha[at] * below)
-
-
-def _probabilities(b: Block, model: Model, answers: pd.DataFrame, order: int) -> np.ndarray:
-    """Recursively from the unigrams up."""
-    if order == 1:
-        return _unigrams(b, model, _table(answers, 2, "a0", "i8"))
-    return _higher(b, model, answers, order, _probabilities(b, model, answers, order - 1))
+    keys, place = b.distinct(order)
+    c = _table(answers, 2 * order, "a0", "i8")[place]
+    return np.where(c > 0, model.discounted(order, c) * factor[at] / np.maximum(count[at], 1), alpha[at] * below), keys, place
 
 
 def score(docs: DataFrame, train: Column, text: str = "text", order: int = 3, k: int = 5, block_tokens: int = 2_500_000, partition_tokens: int = 1_500_000) -> DataFrame:
@@ -279,7 +283,6 @@ def score(docs: DataFrame, train: Column, text: str = "text", order: int = 3, k:
     cut = blocks.select("block").repartition(dealt, "block")
 
     def learned(answers: DataFrame, level: int) -> DataFrame:
-        release(docs.sparkSession)  # the answers are written, so what was shuffled for them is not needed again
         sums = [F.sum(F.get("stats", i)).alias(f"s{i}") for i in range(k + 3)]
         model.learn(level, np.array([x or 0 for x in answers.filter(F.col("block").isNull()).agg(*sums).first()]))
         return answers.filter(F.col("block").isNotNull())
@@ -291,7 +294,9 @@ def score(docs: DataFrame, train: Column, text: str = "text", order: int = 3, k:
         def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for part in batches:
                 for name in part["block"]:
-                    keys, _, counts = _read(root, name).keys(level)
+                    b = _read(root, name)
+                    keys, place = b.distinct(level)
+                    counts = np.bincount(place[b.in_training], minlength=len(keys))  # in training texts
                     yield _requests(_pieces(name, keys, bits, [counts]))
 
         return learned(_count_table(cut.mapInPandas(count, REQUEST), 2 * level, k), level)
@@ -300,13 +305,13 @@ def score(docs: DataFrame, train: Column, text: str = "text", order: int = 3, k:
     for level in range(2, order + 1):
 
         def sums(name: str, b: Block, known: pd.DataFrame, level: int = level) -> pd.DataFrame:
-            below = _probabilities(b, model, known, level - 1)
-            keys, place, _ = b.keys(level)
+            below, keys, place = _probabilities(b, model, known, level - 1)
+            contexts, at = b.contexts(level, keys, place)
+            keys, place = b.distinct(level)
             total = _table(known, 2 * level, "a0", "i8")
             where = np.zeros(len(keys), dtype=np.int64)
             where[place] = np.arange(len(place))  # some token that ends each n-gram
             del keys, place
-            contexts, at = np.unique(b.context(level), return_inverse=True)
             mine = (_table(known, 2 * level, "a1", "u1") > 0) & (total > 0)
             total, where = total[mine], where[mine]
             at = at[where]
@@ -320,10 +325,9 @@ def score(docs: DataFrame, train: Column, text: str = "text", order: int = 3, k:
 
         answers = answers.unionByName(counted(level))
         answers = answers.unionByName(materialize(_context_table(each(answers, sums, REQUEST), 2 * level + 1, k)))
-        release(docs.sparkSession)
 
     def final(_: str, b: Block, known: pd.DataFrame) -> pd.DataFrame:
-        p = _probabilities(b, model, known, order)
+        p, _, _ = _probabilities(b, model, known, order)
         c = _table(known, 2, "a0", "i8")
         base = np.log10((c + 0.5) / (model.tokens + 0.5 * (model.types + 1)))[b.word]
         sum_up = lambda x: np.add.reduceat(x, b.starts)
