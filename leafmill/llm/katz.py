@@ -11,8 +11,8 @@ model (n-gram counts; sums by context) is partitioned by ranges of a 64-bit hash
 own distinct keys once, as one packed row, with its counts; the partition adds them up over all blocks and answers
 each block with the totals of just its keys. So a token costs a few bytes of shuffle, frequent words are one key a
 block and make no partition hot, and no table of the model is ever on the driver or broadcast. For the sums, the first block
-that has an n-gram speaks for it: it sends the lower-order probability in whole units of 2**-44 and its class of counts, so a
-context costs a few bytes, and sums do not depend on the order of blocks. Block by block the
+that has an n-gram speaks for it: it sends the lower-order probability in whole units of 2**-44 and its class of counts; contexts
+go by their numbers in the table of the order below. So a context costs a few bytes, and sums do not depend on the order of blocks. Block by block the
 probabilities are then found recursively: the order below first, then the n-gram where it was seen, else alpha times that.
 
 Edge cases: a null text is empty and has the end token only; a context whose n-grams all have high counts keeps
@@ -41,7 +41,7 @@ END = np.uint64(0x5F0E1D2C3B4A6978)
 BEGIN = mix64(np.arange(1, 17, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 REQUEST = "p int, block string, keys binary, v0 binary, v1 binary"
-ANSWER = "block string, p int, table int, a0 binary, a1 binary, stats array<long>"
+ANSWER = "block string, p int, table int, a0 binary, a1 binary, a2 binary, stats array<long>"
 UNIT = 2.0**44  # probabilities of the order below are added up as whole multiples of 1 / UNIT, in any order to the same sum
 
 
@@ -136,21 +136,28 @@ class Block:
         """Distinct n-grams in order and the place of each token's n-gram among them."""
         return (self.vocab, self.word) if order == 1 else np.unique(self.gram(order), return_inverse=True)
 
-    def contexts(self, order: int, keys: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The keys of contexts and the place of each token's among them, from `distinct(order - 1)`: the n-grams and the begin mark."""
-        begin = int(np.searchsorted(keys, BEGIN[order]))
+    def contexts(self, place: np.ndarray, n: int) -> np.ndarray:
+        """The place of each token's context among the n distinct n-grams of the order below, whose places are given; n is the begin mark."""
         at = np.empty(len(place), dtype=np.int64)
         at[1:] = place[:-1]
-        at += at >= begin
-        at[self.starts] = begin
-        return np.insert(keys, begin, BEGIN[order]), at
+        at[self.starts] = n
+        return at
 
 
-def _pieces(block: str, keys: np.ndarray, bits: int, values: list[np.ndarray]) -> list[tuple]:
-    """A packed row for each partition that has keys."""
+def _edges(keys: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
+    """(partition, from, to) of the keys of each partition that has any."""
     part = (keys >> np.uint64(64 - bits)).astype(np.int64)
     edge = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
-    return [(int(part[a]), block, pack_keys(keys[a:b]), *[pack(v[a:b].ravel()) for v in values], *[None] * (2 - len(values))) for a, b in zip(edge[:-1], edge[1:], strict=True)]
+    for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+        yield int(part[a]), a, b
+
+
+def _pack_matrix(x: np.ndarray) -> bytes:
+    return pack(np.ascontiguousarray(x.T).ravel())
+
+
+def _unpack_matrix(raw: bytes, columns: int) -> np.ndarray:
+    return unpack(raw, "i8").reshape(columns, -1).T
 
 
 def _requests(rows: list[tuple]) -> pd.DataFrame:
@@ -158,12 +165,13 @@ def _requests(rows: list[tuple]) -> pd.DataFrame:
 
 
 def _answers(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["block", "p", "table", "a0", "a1", "stats"])
+    return pd.DataFrame(rows, columns=["block", "p", "table", "a0", "a1", "a2", "stats"])
 
 
-def _count_table(requests: DataFrame, table: int, k: int) -> DataFrame:
-    """A partition of n-gram counts adds up what the blocks sent and answers them with the totals and with whether the
-    block is the first that has the n-gram (it speaks for it later); one row has the partition's statistics."""
+def _count_table(requests: DataFrame, table: int, k: int, number: bool) -> DataFrame:
+    """A partition of n-gram counts adds up what the blocks sent and answers them with the totals, with whether the block
+    is the first that has the n-gram (it speaks for it later) and, with `number`, with the n-grams' numbers in the
+    partition; one row has the partition's statistics."""
 
     def serve(part: pd.DataFrame) -> pd.DataFrame:
         keys = [unpack_keys(x) for x in part["keys"]]
@@ -175,25 +183,27 @@ def _count_table(requests: DataFrame, table: int, k: int) -> DataFrame:
         seen = total[total > 0]
         stats = [int(seen.sum()), len(seen), *np.bincount(np.minimum(seen, k + 2), minlength=k + 3)[1 : k + 2].tolist()]
         at = np.concatenate(([0], np.cumsum([len(x) for x in keys])))
-        rows = [(b, int(part["p"].iloc[0]), table, pack(total[place[s:e]]), pack(speaks[s:e].astype(np.uint8)), None) for b, s, e in zip(part["block"], at[:-1], at[1:], strict=True)]
-        return _answers([*rows, (None, int(part["p"].iloc[0]), table, None, None, stats)])
+        rows = []
+        for b, s, e in zip(part["block"], at[:-1], at[1:], strict=True):
+            own = place[s:e]
+            rows.append((b, int(part["p"].iloc[0]), table, pack(total[own]), pack(speaks[s:e].astype(np.uint8)), pack(np.diff(own, prepend=0).astype(np.uint32)) if number else None, None))
+        return _answers([*rows, (None, int(part["p"].iloc[0]), table, None, None, None, stats)])
 
     return materialize(requests.groupBy("p").applyInPandas(serve, ANSWER))
 
 
 def _context_table(requests: DataFrame, table: int, k: int) -> DataFrame:
-    """A partition of contexts adds up, and answers to each block, the lower-order probability (in units) of the n-grams
-    seen after a context, how many of them have count 1 .. k, and the counts above k together."""
+    """A partition of contexts (by their numbers) adds up, and answers to each block, the lower-order probability (in units)
+    of the n-grams seen after a context, how many of them have count 1 .. k, and the counts above k together."""
 
     def serve(part: pd.DataFrame) -> pd.DataFrame:
-        keys = [unpack_keys(x) for x in part["keys"]]
-        unique, place = np.unique(np.concatenate(keys), return_inverse=True)
-        add = lambda v: np.bincount(place, weights=v, minlength=len(unique)).astype(np.int64)  # noqa: E731  whole numbers below 2**53
+        own = [np.cumsum(unpack(x, "u4"), dtype=np.int64) for x in part["keys"]]
+        place = np.concatenate(own)
+        add = lambda v: np.bincount(place, weights=v).astype(np.int64)  # noqa: E731  whole numbers below 2**53
         lower = add(np.concatenate([unpack(x, "i8") for x in part["v0"]]))
-        sent = np.concatenate([unpack(x, "i8").reshape(-1, k + 1) for x in part["v1"]])
+        sent = np.concatenate([_unpack_matrix(x, k + 1) for x in part["v1"]])
         kinds = np.stack([add(sent[:, r]) for r in range(k + 1)], axis=1)
-        at = np.concatenate(([0], np.cumsum([len(x) for x in keys])))
-        return _answers([(b, int(part["p"].iloc[0]), table, pack(lower[place[s:e]]), pack(kinds[place[s:e]].ravel()), None) for b, s, e in zip(part["block"], at[:-1], at[1:], strict=True)])
+        return _answers([(b, int(part["p"].iloc[0]), table, pack(lower[x]), _pack_matrix(kinds[x]), None, None) for b, x in zip(part["block"], own, strict=True)])
 
     return requests.groupBy("p").applyInPandas(serve, ANSWER)
 
@@ -216,10 +226,14 @@ def _read(root: str, block: str) -> Block:
         return Block(f.read())
 
 
-def _table(answers: pd.DataFrame, table: int, column: str, kind: str) -> np.ndarray:
-    """The answers of all partitions to one block, in the order of its keys."""
+def _table(answers: pd.DataFrame, table: int, column: str, read: Callable[[bytes], np.ndarray]) -> np.ndarray:
+    """The answers of all partitions to one block, in the order of its keys (the begin mark last)."""
     own = answers[answers["table"] == table].sort_values("p")
-    return np.concatenate([unpack(x, kind) for x in own[column]])
+    return np.concatenate([read(x) for x in own[column]])
+
+
+def _longs(raw: bytes) -> np.ndarray:
+    return unpack(raw, "i8")
 
 
 def _unigrams(b: Block, model: Model, c: np.ndarray) -> np.ndarray:
@@ -233,13 +247,13 @@ def _probabilities(b: Block, model: Model, answers: pd.DataFrame, order: int) ->
     """The probability of each token given the order - 1 before it, recursively from that of the order below; and
     `distinct(order)` of the block, which the order above needs."""
     if order == 1:
-        return _unigrams(b, model, _table(answers, 2, "a0", "i8")), *b.distinct(1)
+        return _unigrams(b, model, _table(answers, 2, "a0", _longs)), *b.distinct(1)
     below, keys, place = _probabilities(b, model, answers, order - 1)
-    _, at = b.contexts(order, keys, place)
-    kinds = _table(answers, 2 * order + 1, "a1", "i8").reshape(-1, model.k + 1)
-    alpha, factor, count = _weights(_table(answers, 2 * order + 1, "a0", "i8"), kinds, model.d[order])
+    at = b.contexts(place, len(keys))
+    kinds = _table(answers, 2 * order + 1, "a1", lambda x: _unpack_matrix(x, model.k + 1))
+    alpha, factor, count = _weights(_table(answers, 2 * order + 1, "a0", _longs), kinds, model.d[order])
     keys, place = b.distinct(order)
-    c = _table(answers, 2 * order, "a0", "i8")[place]
+    c = _table(answers, 2 * order, "a0", _longs)[place]
     return np.where(c > 0, model.discounted(order, c) * factor[at] / np.maximum(count[at], 1), alpha[at] * below), keys, place
 
 
@@ -297,38 +311,41 @@ def score(docs: DataFrame, train: Column, text: str = "text", order: int = 3, k:
                     b = _read(root, name)
                     keys, place = b.distinct(level)
                     counts = np.bincount(place[b.in_training], minlength=len(keys))  # in training texts
-                    yield _requests(_pieces(name, keys, bits, [counts]))
+                    yield _requests([(p, name, pack_keys(keys[s:e]), pack(counts[s:e]), None) for p, s, e in _edges(keys, bits)])
 
-        return learned(_count_table(cut.mapInPandas(count, REQUEST), 2 * level, k), level)
+        return learned(_count_table(cut.mapInPandas(count, REQUEST), 2 * level, k, level < order), level)
 
     answers = counted(1)
     for level in range(2, order + 1):
 
         def sums(name: str, b: Block, known: pd.DataFrame, level: int = level) -> pd.DataFrame:
-            below, keys, place = _probabilities(b, model, known, level - 1)
-            contexts, at = b.contexts(level, keys, place)
+            below, shorter, place = _probabilities(b, model, known, level - 1)
+            n = len(shorter) + 1  # contexts, the begin mark among them
+            at = b.contexts(place, len(shorter))
             keys, place = b.distinct(level)
-            total = _table(known, 2 * level, "a0", "i8")
+            total = _table(known, 2 * level, "a0", _longs)
             where = np.zeros(len(keys), dtype=np.int64)
             where[place] = np.arange(len(place))  # some token that ends each n-gram
             del keys, place
-            mine = (_table(known, 2 * level, "a1", "u1") > 0) & (total > 0)
+            mine = (_table(known, 2 * level, "a1", lambda x: unpack(x, "u1")) > 0) & (total > 0)
             total, where = total[mine], where[mine]
             at = at[where]
-            lower = np.bincount(at, weights=np.rint(below[where] * UNIT), minlength=len(contexts)).astype(np.int64)
-            kinds = np.empty((len(contexts), k + 1), dtype=np.int64)
+            lower = np.bincount(at, weights=np.rint(below[where] * UNIT), minlength=n).astype(np.int64)
+            kinds = np.empty((n, k + 1), dtype=np.int64)
             for r in range(1, k + 1):
-                kinds[:, r - 1] = np.bincount(at[total == r], minlength=len(contexts))
+                kinds[:, r - 1] = np.bincount(at[total == r], minlength=n)
             more = total > k
-            kinds[:, k] = np.bincount(at[more], weights=total[more], minlength=len(contexts))
-            return _requests(_pieces(name, contexts, bits, [lower, kinds]))
+            kinds[:, k] = np.bincount(at[more], weights=total[more], minlength=n)
+            own = known[known["table"] == 2 * (level - 1)].sort_values("p")
+            rows = [(p, name, x, pack(lower[s:e]), _pack_matrix(kinds[s:e])) for (p, s, e), x in zip(_edges(shorter, bits), own["a2"], strict=True)]
+            return _requests([*rows, (1 << bits, name, pack(np.zeros(1, dtype=np.uint32)), pack(lower[-1:]), _pack_matrix(kinds[-1:]))])
 
         answers = answers.unionByName(counted(level))
         answers = answers.unionByName(materialize(_context_table(each(answers, sums, REQUEST), 2 * level + 1, k)))
 
     def final(_: str, b: Block, known: pd.DataFrame) -> pd.DataFrame:
         p, _, _ = _probabilities(b, model, known, order)
-        c = _table(known, 2, "a0", "i8")
+        c = _table(known, 2, "a0", _longs)
         base = np.log10((c + 0.5) / (model.tokens + 0.5 * (model.types + 1)))[b.word]
         sum_up = lambda x: np.add.reduceat(x, b.starts)
         return pd.DataFrame({"doc_id": b.ids, "held_out": ~b.train, "n_tokens": b.lengths, "n_known": sum_up((c > 0)[b.word].astype(np.int64)), "train_tokens": model.tokens, "base_score": sum_up(base), "score": sum_up(np.log10(p))})
