@@ -14,7 +14,7 @@ are connected. There the sketches are compared first, inside the join: a pair wh
 with a chance under 0.03 %, and only pairs that pass become rows. So no candidate is capped, and a large group of near
 copies costs a few comparisons a member. At similarity 0.8 the bands miss 0.3 % of pairs, at 0.85 one in 25,000.
 
-Edge cases: a null text is its own class; equal texts (empty ones too) are one class; texts without words are linked by
+Edge cases: very long texts are read whole; ties (the same similarity, the same weight) do not change classes; a null text is its own class; equal texts (empty ones too) are one class; texts without words are linked by
 equality only; a class is named by its least doc_id; repeated rows keep their rows; an empty table gives no rows;
 extra columns are not carried by `classes` and pass through `keep_first`.
 """
@@ -146,8 +146,11 @@ def _labelled(pairs: DataFrame, found: DataFrame, end: str) -> DataFrame:
     return pairs.join(label, end, "left").withColumn(end, F.coalesce("_label", end)).drop("_label")
 
 
-def classes(docs: DataFrame, text: str = "text", size: int = 256, rows: int = 8, threshold: float = 0.8) -> DataFrame:
-    """doc_id, node (content key, null for a null text), class_id, first_id, first_node of the class, for each row."""
+def classes(docs: DataFrame, text: str = "text", size: int = 256, rows: int = 8, threshold: float = 0.8, compare_sketches: bool = True) -> DataFrame:
+    """doc_id, node (content key, null for a null text), class_id and first_node of the class, for each row.
+
+    Without `compare_sketches` every pair that shares a bucket and is not connected yet is verified on its texts.
+    """
     base = _sketched(docs, text, size, rows)
     named = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node")
     nodes = materialize(base.groupBy("node").agg(F.min(named).alias("first"), F.first("bands").alias("bands"), F.first("bytes").alias("bytes")))
@@ -183,7 +186,7 @@ def classes(docs: DataFrame, text: str = "text", size: int = 256, rows: int = 8,
         right = chosen.join(nodes.select(F.col("node").alias("c"), F.col("bytes").alias("c_bytes"), F.col("bands").alias("c_bands")), "c")
         # a pair counts in the first bucket that it shares, so it is one row
         once = F.get(F.filter(F.zip_with("bands", "c_bands", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull()), 0) == left["bucket"]
-        near = (left["bucket"] == right["bucket"]) & (left["component"] != right["c_component"]) & once & _maybe("bytes", "c_bytes", size, threshold)
+        near = (left["bucket"] == right["bucket"]) & (left["component"] != right["c_component"]) & once & (_maybe("bytes", "c_bytes", size, threshold) if compare_sketches else F.lit(True))
         across = left.join(right, near)
         pairs = across.select(F.greatest("node", "c").alias("a"), F.least("node", "c").alias("b")).distinct()
         pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"))
