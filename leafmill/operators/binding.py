@@ -6,6 +6,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leafmill.functions import text as T
+from leafmill.operators.segment import carry_forward
+
 # Block types that an item type expects, and types that always fit.
 EXPECTED = {
     "chapter": {"heading"}, "section": {"heading"}, "definition": {"definition"}, "theorem": {"theorem"},
@@ -69,6 +72,46 @@ def greedy_binding(items: DataFrame, blocks: DataFrame, max_blocks: int = 6) ->
     return items.groupBy("doc_id").cogroup(blocks.groupBy("doc_id")).applyInPandas(bind, BOUND)
 
 
+def synthetic_blocks(blocks: DataFrame) -> DataFrame:
+    """Blocks made of Markdown text that have a place in the layout, with chapter and section carried forward in the order of their lines.
+
+    blocks: doc_id, block_id, block_type, heading_level, text, source_line_start, page_index, page_number.
+    """
+    level = F.when(F.coalesce("block_type", F.lit("paragraph")) == "heading", F.coalesce("heading_level", F.lit(0)))
+    rows = carry_forward(blocks.withColumn("_level", level), "doc_id", ["source_line_start", "block_id"], level="_level")
+    placed = rows.filter(F.col("page_index").isNotNull() & F.col("page_number").isNotNull())
+    path = F.array_compact(F.array("chapter", "section"))
+    return placed.select("doc_id", "block_id", F.coalesce("block_type", F.lit("paragraph")).alias("type"), "text", "page_index", "page_number", F.coalesce("source_line_start", F.lit(0)).alias("line"), path.alias("chapter_path"), T.first_sentence(F.coalesce("text", F.lit(""))).alias("text_signature"))
+
+
+def contained_blocks(items: DataFrame, blocks: DataFrame) -> DataFrame:
+    """doc_id, item_id, n, block_id: for each item in turn the unused blocks of its chapter whose text holds its text or lies in it.
+
+    items: doc_id, item_seq, item_id, text, chapter. blocks: those of `synthetic_blocks`. Blocks of an item come by the shorter
+    text's length, shared tokens and line, greatest first, an earlier line before a later one. What is used depends on the items
+    before, so a document is one task of its own rows.
+    """
+
+    def bind(_: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        free, rows = right.sort_values(["line", "block_id"]).to_dict("records"), []
+        for it in left.sort_values("item_seq").to_dict("records"):
+            words, ranked = set(it["tokens"]), []
+            for b in free:
+                if it["norm"] and b["norm"] and b["chapter"] in ("", it["chapter"]) and (b["norm"] in it["norm"] or it["norm"] in b["norm"]):
+                    ranked.append(((min(len(b["norm"]), len(it["norm"])), len(words & set(b["tokens"])), -b["line"]), b))
+            ranked.sort(key=lambda r: r[0], reverse=True)
+            taken = {b["block_id"] for _, b in ranked}
+            free = [b for b in free if b["block_id"] not in taken]
+            rows += [(it["doc_id"], it["item_id"], n, b["block_id"]) for n, (_, b) in enumerate(ranked)]
+        return pd.DataFrame(rows, columns=["doc_id", "item_id", "n", "block_id"])
+
+    plain = lambda df: df.withColumns({"norm": T.structure_normalized(F.coalesce("text", F.lit(""))), "tokens": T.tokens(F.coalesce("text", F.lit("")))})
+    left = plain(items).select("doc_id", "item_seq", "item_id", "norm", "tokens", F.coalesce("chapter", F.lit("")).alias("chapter"))
+    right = plain(blocks).select("doc_id", "block_id", "line", "norm", "tokens", F.coalesce(F.get("chapter_path", 0), F.lit("")).alias("chapter"))
+    kind = items.schema["doc_id"].dataType.simpleString()
+    return left.groupBy("doc_id").cogroup(right.groupBy("doc_id")).applyInPandas(bind, f"doc_id {kind}, item_id string, n int, block_id string")
+
+
 def resolve_figures(figures: DataFrame, assets: DataFrame, min_stem: int = 16) -> DataFrame:
     """figures (ref) with asset_id: by id, by URL, by a stem of min_stem characters in the URL, then by id prefix."""
     by_id = assets.select(F.col("asset_id").alias("ref"), F.col("asset_id").alias("a1"))
@@ -76,9 +119,14 @@ def resolve_figures(figures: DataFrame, assets: DataFrame, min_stem: int = 16) -
     out = figures.join(by_id, "ref", "left").join(by_url, "ref", "left")
     rest = out.filter(F.col("a1").isNull() & F.col("a2").isNull()).select("ref").distinct()
     stem = F.regexp_extract("ref", r"([^/]+?)(?:\.[^./]*)?$", 1)
-    met = rest.withColumn("stem", stem).join(assets, (F.length("stem") >= min_stem) & F.contains(F.col("source_url"), F.col("stem")))
+    # a stem of that length is in a URL only where its first characters are, so both sides meet in an equal piece
+    pieces = F.transform(F.sequence(F.lit(1), F.length("source_url") - min_stem + 1), lambda i: F.substring(F.col("source_url"), i, F.lit(min_stem)))
+    cut = assets.filter(F.length("source_url") >= min_stem).withColumn("piece", F.explode(F.array_distinct(pieces)))
+    stems = rest.withColumn("stem", stem).filter(F.length("stem") >= min_stem).withColumn("piece", F.substring("stem", 1, min_stem))
+    met = stems.join(cut, "piece").filter(F.contains(F.col("source_url"), F.col("stem")))
     by_stem = met.groupBy("ref").agg(F.max_by("asset_id", F.struct(F.length("source_url"), -F.col("ord"))).alias("a3"))
-    by_prefix = rest.join(assets, F.col("ref").startswith(F.col("asset_id"))).groupBy("ref").agg(F.min_by("asset_id", "ord").alias("a4"))
+    begins = rest.withColumn("asset_id", F.explode(F.transform(F.sequence(F.lit(1), F.length("ref")), lambda i: F.substring(F.col("ref"), F.lit(1), i))))
+    by_prefix = begins.join(assets, "asset_id").groupBy("ref").agg(F.min_by("asset_id", "ord").alias("a4"))
     out = out.join(by_stem, "ref", "left").join(by_prefix, "ref", "left")
     return out.withColumn("asset_id", F.coalesce("a1", "a2", "a3", "a4")).drop("a1", "a2", "a3", "a4")
 

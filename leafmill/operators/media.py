@@ -17,20 +17,69 @@ def dedup_by_digest(assets: DataFrame, content: Column, key: str) -> DataFrame:
     return rows.join(first, "sha256").select(key, "sha256", "first_id")
 
 
+def tail(url: Column) -> Column:
+    """What follows the last slash, query and all."""
+    return F.element_at(F.split(url, "/"), -1)
+
+
 def unambiguous_names(urls: DataFrame, url: str = "url", key: str = "asset_id") -> DataFrame:
     """file name -> key, for names that exactly one key has."""
-    names = urls.select(T.basename(F.col(url)).alias("name"), key)
+    names = urls.select(tail(F.col(url)).alias("name"), key)
     return names.groupBy("name").agg(F.count_distinct(key).alias("n"), F.min(key).alias(key)).filter((F.col("n") == 1) & (F.col("name") != "")).drop("n")
 
 
-def resolve(refs: DataFrame, urls: DataFrame, ref: str = "ref", key: str = "asset_id") -> DataFrame:
-    """refs with the key of their URL, else of their file name where that is unambiguous."""
-    exact = urls.select(F.col("url").alias(ref), F.col(key).alias("_exact")).dropDuplicates([ref])
+def resolve(refs: DataFrame, urls: DataFrame, ref: str = "ref", key: str = "asset_id", order: str | None = None) -> DataFrame:
+    """refs with the key of their URL, else of their file name where that is unambiguous. A URL that comes twice has its
+    last key by `order` (the greatest key without one)."""
+    last = urls.groupBy(F.col("url").alias(ref)).agg((F.max(key) if order is None else F.max_by(key, order)).alias("_exact"))
     names = unambiguous_names(urls, key=key).select(F.col("name").alias("_name"), F.col(key).alias("_by_name"))
-    out = refs.join(exact, ref, "left").withColumn("_name", T.basename(F.col(ref))).join(names, "_name", "left")
+    out = refs.join(last, ref, "left").withColumn("_name", tail(F.col(ref))).join(names, "_name", "left")
     return out.withColumn(key, F.coalesce("_exact", "_by_name")).drop("_exact", "_by_name", "_name")
 
 
+def registry(by_url: DataFrame, assets: DataFrame) -> DataFrame:
+    """asset_id, source_url and the record of each asset: its last URL counts. by_url: url, asset_id, ord; assets: asset_id, local_path,
+    sha256, mime_type (image/png where absent), ord (the first record counts)."""
+    last = by_url.groupBy("asset_id").agg(F.max_by("url", "ord").alias("source_url"))
+    record = assets.groupBy("asset_id").agg(F.min_by(F.struct("local_path", "sha256", "mime_type"), "ord").alias("r"))
+    out = last.join(record, "asset_id", "left")
+    return out.select("asset_id", "source_url", F.coalesce("r.local_path", F.lit("")).alias("local_path"), F.coalesce("r.sha256", F.lit("")).alias("sha256"), T.or_default(F.col("r.mime_type"), "image/png").alias("mime_type"))
+
+
+MARK = r"!\[[^\]]*\]\([^)]+\)"
+
+
+def rewrite_references(docs: DataFrame, urls: DataFrame, files: DataFrame, text: str = "text") -> DataFrame:
+    """docs (doc_id, text) with the target of each image marker that `resolve` knows replaced by assets/<asset_id>.<suffix>.
+
+    urls: url, asset_id. files: asset_id, suffix. Markers are looked up by a join; texts are cut and joined again in place.
+    """
+    marks = F.regexp_extract_all(F.col(text), F.lit(MARK), 0)
+    each = docs.select("doc_id", F.posexplode(marks).alias("i", "mark")).withColumn("ref", T.strip(F.regexp_extract("mark", r"\]\(([^)]+)\)$", 1)))
+    found = resolve(each.select("ref").distinct(), urls).join(files, "asset_id", "left").filter(F.col("asset_id").isNotNull())
+    target = F.concat(F.lit("assets/"), "asset_id", F.lit("."), F.coalesce(F.nullif("suffix", F.lit("")), F.lit("bin")))
+    new = each.join(found.select("ref", target.alias("target")), "ref", "left")
+    new = new.withColumn("mark", F.when(F.col("target").isNotNull(), F.concat(F.regexp_extract("mark", r"^(!\[[^\]]*\])", 1), F.lit("("), "target", F.lit(")"))).otherwise(F.col("mark")))
+    folded = new.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "mark"))), lambda x: x["mark"]).alias("_marks"))
+    pieces = F.split(F.col(text), MARK, -1)
+    whole = F.array_join(F.flatten(F.zip_with(pieces, F.col("_marks"), lambda p, m: F.array(p, F.coalesce(m, F.lit(""))))), "")
+    return docs.join(folded, "doc_id", "left").withColumn(text, F.when(F.col("_marks").isNull(), F.col(text)).otherwise(whole)).drop("_marks")
+
+
+def holding(docs: DataFrame, phrases: DataFrame, text: str, phrase: str, width: int = 12) -> DataFrame:
+    """docs joined to the phrases that their text holds: both sides meet in an equal piece of the text, then the text is searched.
+
+    A phrase is found where its first `width` characters are; shorter phrases are met by pieces of their own length. The
+    pieces of a text that occur in no phrase never leave its row.
+    """
+    sizes = sorted(r["n"] for r in phrases.select(F.least(F.length(phrase), F.lit(width)).alias("n")).distinct().collect() if r["n"])  # at most `width`
+    keyed = phrases.withColumn("_piece", F.substring(F.col(phrase), F.lit(1), F.least(F.length(phrase), F.lit(width))))
+    cut = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text) - n + 1)), lambda i: F.substring(F.col(text), i, F.lit(n)))
+    pieces = F.array_distinct(F.flatten(F.array(*map(cut, sizes)))) if sizes else F.array().cast("array<string>")
+    met = docs.withColumn("_piece", F.explode(pieces)).join(keyed, "_piece")
+    return met.filter(F.contains(F.col(text), F.col(phrase))).drop("_piece")
+
+
 def sign_bits(vector: Column) -> Column:
     """A 64-bit hash of the signs of a vector's first 64 numbers, as array<long> of one word."""
     bit = lambda i: F.when(F.get(vector, i) > 0, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long"))

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from leafmill.functions import text as T
+from leafmill.operators.quality import noise_reason
 from leafmill.operators.taxonomy import NO_TOPIC, common_ancestor
 
 # Order of item types.
 PRIORITY = {"chapter": 0, "section": 1, "definition": 10, "theorem": 11, "method": 20, "knowledge_point": 25, "example": 30, "worked_example": 30, "exercise": 40, "solution": 50, "summary": 60, "chapter_summary": 60}
-BRIDGE_ORDER = ("equal_length", "parallel", "perpendicular", "midpoint", "collinear", "point_on_segment", "equal_angle")
 
 
 def type_priority(kind: Column, table: dict[str, int] = PRIORITY, other: int = 70) -> Column:
@@ -77,7 +77,57 @@ def backfill(markers: DataFrame, assets: DataFrame, existing: DataFrame) -> Data
     return met.join(existing, ["item_id", "asset_id"], "left_anti")
 
 
+def is_intro(kind: Column) -> Column:
+    """Chapter openings, which plans leave out."""
+    return F.lower(T.strip(F.coalesce(kind, F.lit("")))) == "chapter"
+
+
+def content_figures(records: DataFrame, overrides: DataFrame) -> DataFrame:
+    """figure_id of the content figures: by record, then by the last override of each figure. records: figure_id, asset_id, role;
+    overrides: figure_id, role, ord. An override speaks for the figure and for the assets that records tie to it."""
+    ids = lambda df: df.select("figure_id", F.explode(F.array("figure_id", "asset_id")).alias("id")).filter(F.col("id").isNotNull() & (F.col("id") != ""))
+    tied = ids(records).distinct()
+    said = overrides.filter(F.col("role").isin("content", "decor")).groupBy("figure_id").agg(F.max_by("role", "ord").alias("role"), F.max("ord").alias("ord"))
+    spoken = said.join(tied, "figure_id", "left").select(F.coalesce("id", "figure_id").alias("id"), "role", "ord")
+    last = spoken.groupBy("id").agg(F.max_by("role", "ord").alias("role"))
+    kept = ids(records.filter("role = 'content'")).select("id").distinct().join(last.filter("role = 'decor'"), "id", "left_anti")
+    return kept.unionByName(last.filter("role = 'content'").select("id")).distinct().select(F.col("id").alias("figure_id"))
+
+
 def content_rescue(items: DataFrame, assets: DataFrame, content: DataFrame) -> DataFrame:
-    """Noise or intro items that own a content figure come back under the fallback topic."""
-    owners = assets.join(content, "asset_id", "left_semi").select("item_id").distinct()
-    return items.join(owners, "item_id", "left_semi").withColumn("topic_id", F.lit(NO_TOPIC))
+    """items (item_id, item_type, title, text, pages) that plans keep: all but noise and chapter openings, and those of
+    these that own a content figure, under the fallback topic (column topic_id, else null) with a reason and, for noise, a title of their own.
+
+    assets: item_id, asset_id. content: asset_id.
+    """
+    owners = assets.join(content, "asset_id", "left_semi").select("item_id").distinct().withColumn("_owns", F.lit(True))
+    noise, intro = noise_reason(F.col("title"), F.col("text")).isNotNull(), is_intro(F.col("item_type"))
+    rows = items.join(owners, "item_id", "left").withColumns({"_noise": noise, "_out": noise | intro}).filter(~F.col("_out") | F.col("_owns"))
+    head = T.strip(F.coalesce("title", F.lit("")))
+    body = F.coalesce("text", F.lit(""))
+    rest = F.when((head != "") & body.startswith(head), F.regexp_replace(F.substring(body, F.length(head) + 1, F.length(body)), r"(?U)^\s+", "")).otherwise(body)
+    label = F.when(F.size("pages") > 0, F.concat(F.lit("内容图（源页 "), F.get("pages", 0).cast("string"), F.lit("）"))).otherwise(F.concat(F.lit("内容图（"), F.coalesce(F.nullif("item_id", F.lit("")), F.lit("未编号")), F.lit("）")))
+    new = {"topic_id": F.when(F.col("_out"), NO_TOPIC), "reason": F.when(F.col("_noise"), "content_figure_on_noise_item").when(F.col("_out"), "content_figure_on_intro_item"), "title": F.when(F.col("_noise"), label).otherwise(F.col("title")), "text": F.when(F.col("_noise"), rest).otherwise(F.col("text"))}
+    return rows.withColumns(new).drop("_noise", "_out", "_owns")
+
+
+def first_use(uses: DataFrame, key: str, order: str, name: str) -> DataFrame:
+    """key, names: the distinct names of each key in the order of their first use."""
+    firsts = uses.filter(F.col(name).isNotNull()).groupBy(key, name).agg(F.min(order).alias("_at"))
+    return firsts.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", name))), lambda x: x[name]).alias("names"))
+
+
+def plan(items: DataFrame, scores: DataFrame, assets: DataFrame, content: DataFrame) -> dict[str, DataFrame]:
+    """The planner: what to keep, pruned topics, ordered plans, plans that a larger one holds, figures in first-use order.
+
+    items: item_id, item_type, item_seq, title, text, pages. scores: item_id, topic_id, score (the fallback where no topic fits).
+    """
+    kept = content_rescue(items, assets, content)
+    pruned = prune_topics(scores, ["item_id"])
+    usual = kept.filter(F.col("topic_id").isNull()).drop("topic_id").join(pruned.select("item_id", "topic_id"), "item_id", "left").withColumn("topic_id", F.coalesce("topic_id", F.lit(NO_TOPIC)))
+    rows = usual.unionByName(kept.filter(F.col("topic_id").isNotNull()))
+    plans = plan_items(rows.select("topic_id", "item_id", "item_type", "item_seq"))
+    double = superseded(plans.select(F.col("topic_id").alias("plan_id"), "item_id"))
+    live = plans.join(double.select(F.col("plan_id").alias("topic_id")), "topic_id", "left_anti")
+    figures = first_use(live.join(assets, "item_id"), "topic_id", "pos", "asset_id")
+    return {"items": rows, "pruning": pruned, "plans": live, "superseded": double, "figures": figures}

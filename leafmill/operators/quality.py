@@ -98,22 +98,38 @@ def magic_of(content: Column) -> Column:
     return F.when(head.startswith("89504E470D0A1A0A"), "png").when(head.startswith("FFD8FF"), "jpeg").when(head.startswith("47494638"), "gif").when(head.startswith("52494646") & head.endswith("57454250"), "webp").when(head.startswith("424D"), "bmp")
 
 
-def model_gate(relations: Column, has_asset: Column) -> Column:
-    """Whether a figure's facts call for a model: relations is array<struct<evidence, review_state>>."""
+def model_gate(relations: Column, observations: Column, low: float = 0.5) -> Column:
+    """Whether a figure's facts call for a model, and why: struct<call, reason>; relations is array<struct<evidence, confidence>>."""
+    answer = lambda call, why: F.struct(F.lit(call).alias("call"), F.lit(why).alias("reason"))
+    some, seen = F.coalesce(F.size(relations), F.lit(0)) > 0, F.coalesce(F.size(observations), F.lit(0)) > 0
+    firm = F.filter(relations, lambda r: ~r["evidence"].isin("visual_inference", "unknown"))
     return (
-        F.when(~has_asset, "no_asset")
-        .when(F.size(relations) == 0, "no_relations")
-        .when(F.forall(relations, lambda r: r["review_state"] == "confirmed"), "all_confirmed")
-        .when(F.exists(relations, lambda r: r["evidence"].isin("visual_inference", "unknown")), "call:weak")
-        .when(F.exists(relations, lambda r: r["evidence"] == "problem_text"), "text_suffices")
-        .otherwise("call:unclear")
+        F.when(~some & ~seen, answer(True, "rules_blank"))
+        .when(~some, answer(True, "rules_blank_no_relations"))
+        .when(F.size(firm) == 0, answer(True, "rules_only_non_promotable"))
+        .when(F.exists(firm, lambda r: r["confidence"] < low), answer(True, "rules_low_confidence"))
+        .when(seen, answer(True, "rules_have_visual_observations"))
+        .otherwise(answer(False, "rules_sufficient"))
     )
 
 
-def quota(use: DataFrame, limit: int, warn_at: float = 0.9) -> DataFrame:
-    """day, pages, state of each UTC day: use has ts and pages."""
-    days = use.groupBy(F.to_date("ts").alias("day")).agg(F.sum("pages").alias("pages"))
-    return days.withColumn("state", F.when(F.col("pages") > limit, "refuse").when(F.col("pages") >= limit * warn_at, "warn").otherwise("allow"))
+def pages_used(use: DataFrame) -> DataFrame:
+    """day, pages of each UTC day: use has ts and pages; negative pages count nothing."""
+    return use.groupBy(F.to_date("ts").alias("day")).agg(F.sum(F.greatest(F.lit(0), F.col("pages"))).alias("pages"))
+
+
+def quota_decision(state_day: Column, today: Column, used: Column, limit: Column, estimate: Column) -> Column:
+    """ALLOW, REFUSE_PRE or WARN_LIVE before a submission; what was used on another day does not count."""
+    now = F.when(state_day == today, used).otherwise(0)
+    return F.when(estimate.isNull(), F.when(now >= limit, "REFUSE_PRE").otherwise("WARN_LIVE")).when(estimate <= 0, "ALLOW").when(now + estimate > limit, "REFUSE_PRE").otherwise("ALLOW")
+
+
+def asset_problem(mime: Column, content: Column, min_bytes: int = 32) -> Column:
+    """Why downloaded bytes are no asset, or null: type, size, then whether they begin like an image."""
+    known = F.lit(False)
+    for m in ("image/png", "image/jpeg", "image/jpg", "image/webp", "image/gif"):
+        known = known | F.coalesce(mime, F.lit("")).startswith(m)
+    return F.when(~known, "unsupported MIME type").when(F.octet_length(content) < min_bytes, "content too small").when(magic_of(content).isNull(), "not a decodable image")
 
 
 def mock_role(context: Column, heading: Column, body_chars: Column, width: Column, height: Column, templated: Column, phrases: Sequence[str] = WATERMARKS) -> Column:

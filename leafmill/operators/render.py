@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import textwrap
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,14 +47,15 @@ def latin_only(x: Column) -> Column:
 
 
 def pdf_bytes(lines: list[tuple[str, str]], title: str, per_page: int = 48) -> bytes:
-    """A plain PDF 1.4 of (style, text) lines in the standard fonts."""
+    """A plain PDF 1.4 of (style, text) lines in the standard fonts; lines too wide for the page are broken at spaces."""
+    lines = [(style, part) for style, text in lines for part in textwrap.wrap(text, 66 if style == "heading" else 95, drop_whitespace=True) or [""]]
     pages = [lines[i : i + per_page] for i in range(0, len(lines), per_page)] or [[]]
     objects = [b"<< /Type /Catalog /Pages 2 0 R >>", b"<< /Type /Pages /Count %d /Kids [%s] >>" % (len(pages), b" ".join(b"%d 0 R" % (5 + 2 * k) for k in range(len(pages)))), b"<< /Type /Font /Subtype /Type1 /BaseFont /Helvetica /Encoding /WinAnsiEncoding >>", b"<< /Type /Font /Subtype /Type1 /BaseFont /Helvetica-Bold /Encoding /WinAnsiEncoding >>"]
     show = lambda s: s.encode("cp1252", "replace").replace(b"\\", b"\\\\").replace(b"(", b"\\(").replace(b")", b"\\)")
     for k, page in enumerate(pages):
         body = b"BT /F1 8 Tf 50 810 Td (%s) Tj ET\n" % show(title) + b"BT /F1 8 Tf 280 20 Td (%d / %d) Tj ET\nBT 15 TL 50 790 Td\n" % (k + 1, len(pages))
         for style, text in page:
-            body += (b"/F2 13 Tf " if style == "heading" else b"/F1 10 Tf ") + b"(%s) Tj T*\n" % show(text[:110])
+            body += (b"/F2 13 Tf " if style == "heading" else b"/F1 10 Tf ") + b"(%s) Tj T*\n" % show(text)
         body += b"ET"
         objects.append(b"<< /Type /Page /Parent 2 0 R /MediaBox [0 0 595 842] /Resources << /Font << /F1 3 0 R /F2 4 0 R >> >> /Contents %d 0 R >>" % (6 + 2 * k))
         objects.append(b"<< /Length %d >>\nstream\n%s\nendstream" % (len(body), body))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from leafmill.functions import boxes
+from leafmill.functions import text as T
 
 # Block types.
 TEXT_TYPES = ("paragraph", "text", "list", "list_item", "other")
@@ -26,21 +27,23 @@ def is_caption(kind: Column, text: Column) -> Column:
     return kind.isin(*CAPTION_TYPES) | F.coalesce(text, F.lit("")).rlike(r"(?iU)^(图|表|figure|table)\s*\d")
 
 
-def heading_parents(blocks: DataFrame, levels: int = 6) -> DataFrame:
+def heading_parents(blocks: DataFrame) -> DataFrame:
     """block_id, parent_id, inferred: the latest earlier heading of a lower level; for other blocks the latest heading.
 
     The parent of a heading of level L is the last heading before it with a level under L, which is what a stack of
-    open headings gives; so one running `last` for each level and a greatest position do it.
+    open headings gives; so one running `last` for each level that occurs and a greatest position do it.
     """
     w0 = W.partitionBy("doc_id").orderBy("page_index", "block_order")
     before = w0.rowsBetween(W.unboundedPreceding, -1)
     head = F.col("type") == "heading"
+    given = {r["level"] for r in blocks.filter(head & F.col("level").isNotNull()).select("level").distinct().collect()}  # a row for each level in use
+    levels = sorted(given | {1, 2})
     rows = blocks.withColumn("pos", F.row_number().over(w0)).withColumn("earlier", F.coalesce(F.max(head.cast("int")).over(before), F.lit(0)))
     guess = F.when(F.col("text").rlike("^第.+章|(?i)^chapter"), 1).when(F.col("text").rlike("^第.+节|^\\d+\\.\\d+"), 2).when(F.col("earlier") == 0, 1).otherwise(2)
     rows = rows.withColumns({"inferred": head & F.col("level").isNull(), "lvl": F.when(head, F.coalesce("level", guess))})
-    lasts = {f"h{k}": F.last(F.when(F.col("lvl") == k, F.struct("pos", "block_id", "inferred")), ignorenulls=True).over(before) for k in range(1, levels + 1)}
+    lasts = {f"h{i}": F.last(F.when(F.col("lvl") == k, F.struct("pos", "block_id", "inferred")), ignorenulls=True).over(before) for i, k in enumerate(levels)}
     rows = rows.withColumns(lasts)
-    allowed = [F.when(~head | (F.lit(k) < F.col("lvl")), F.col(f"h{k}")) for k in range(1, levels + 1)]
+    allowed = [F.when(~head | (F.lit(k) < F.col("lvl")), F.col(f"h{i}")) for i, k in enumerate(levels)]
     rows = rows.withColumn("parent", F.array_max(F.array_compact(F.array(*allowed)))).filter(F.col("parent").isNotNull())
     inferred = F.when(head, F.col("inferred")).otherwise(F.col("parent.inferred"))
     return rows.select("doc_id", "block_id", F.col("parent.block_id").alias("parent_id"), inferred.alias("inferred"))
@@ -111,16 +114,79 @@ def paired_images(markdown: DataFrame, layout: DataFrame) -> DataFrame:
     return m.join(v, ["doc_id", "path", "k"])
 
 
+def paired_images_or_stems(markdown: DataFrame, layout: DataFrame) -> DataFrame:
+    """doc_id, line_no, block_id: Markdown images in turn with the first unused visual of their path, else of their stem.
+
+    markdown: doc_id, target, line_no. layout: doc_id, path, asset_id, block_id, page_index, block_order. Both passes share
+    what is used, so a document is one task of its own images.
+    """
+    import pandas as pd
+
+    names = lambda df, target: df.withColumns({"_p": T.image_identity(F.col(target))["path"], "_s": T.image_identity(F.col(target))["stem"]})
+
+    def pair(_: tuple, images: pd.DataFrame, visuals: pd.DataFrame) -> pd.DataFrame:
+        waiting: dict[tuple[str, str], list[str]] = {}
+        for v in visuals.sort_values(["page_index", "block_order"], ascending=False).to_dict("records"):
+            for name in (("path", v["_p"]), ("stem", v["_s"] or v["asset_id"])):
+                if name[1]:
+                    waiting.setdefault(name, []).append(v["block_id"])
+        used, rows = set(), []
+        for m in images.sort_values("line_no").to_dict("records"):
+            for name in (("path", m["_p"]), ("stem", m["_s"])):
+                queue = waiting.get(name, [])
+                while queue and queue[-1] in used:
+                    queue.pop()
+                if queue:
+                    used.add(queue[-1])
+                    rows.append((m["doc_id"], m["line_no"], queue.pop()))
+                    break
+        return pd.DataFrame(rows, columns=["doc_id", "line_no", "block_id"])
+
+    kind = markdown.schema["doc_id"].dataType.simpleString()
+    left, right = names(markdown.select("doc_id", "target", "line_no"), "target"), names(layout.select("doc_id", F.coalesce("path", F.lit("")).alias("path"), "asset_id", "block_id", "page_index", "block_order"), "path")
+    return left.groupBy("doc_id").cogroup(right.groupBy("doc_id")).applyInPandas(pair, f"doc_id {kind}, line_no int, block_id string")
+
+
+def image_anchors(images: DataFrame, blocks: DataFrame) -> DataFrame:
+    """doc_id, line_no, target_id: for each image line the last block of text that begins under the heading in force, else that heading.
+
+    images: doc_id, line_no. blocks: doc_id, block_id, type, first_line, last_line. Running maxima, no pairs.
+    """
+    head = F.col("type") == "heading"
+    rows = blocks.select("doc_id", F.col("first_line").alias("at"), F.when(head, F.struct("first_line", "block_id")).alias("h"), F.when(~head, F.struct("last_line", "block_id", "first_line")).alias("t"), F.lit(None).cast("int").alias("line_no"))
+    marks = images.select("doc_id", F.col("line_no").alias("at"), F.lit(None).cast(rows.schema["h"].dataType).alias("h"), F.lit(None).cast(rows.schema["t"].dataType).alias("t"), F.col("line_no").cast("int").alias("line_no")).distinct()
+    w = W.partitionBy("doc_id").orderBy("at").rangeBetween(W.unboundedPreceding, W.currentRow)
+    both = rows.unionByName(marks).withColumns({"heading": F.max("h").over(w), "near": F.max("t").over(w)}).filter(F.col("line_no").isNotNull())
+    target = F.when(F.col("near.first_line") > F.coalesce("heading.first_line", F.lit(0)), F.col("near.block_id")).otherwise(F.col("heading.block_id"))
+    return both.select("doc_id", "line_no", target.alias("target_id")).filter(F.col("target_id").isNotNull())
+
+
+def heading_of_images(lines: DataFrame) -> DataFrame:
+    """doc_id, path, heading: the heading in force at the first marker of each path (the first marker of a line counts). lines: doc_id, line_no, line."""
+    rows = lines.withColumn("line", T.strip(F.col("line")))
+    head = F.col("line").startswith("#")
+    w = W.partitionBy("doc_id").orderBy("line_no").rowsBetween(W.unboundedPreceding, W.currentRow)
+    rows = rows.withColumn("heading", F.coalesce(F.last(F.when(head, T.strip(F.regexp_replace("line", "^#+", ""))), ignorenulls=True).over(w), F.lit("")))
+    path = T.strip(F.regexp_extract("line", r"!\[image\]\(([^)]*)\)", 1))
+    marks = rows.filter(~head).select("doc_id", "line_no", path.alias("path"), "heading").filter("path <> ''")
+    return marks.groupBy("doc_id", "path").agg(F.min_by("heading", "line_no").alias("heading"))
+
+
 def nearest_anchor(blocks: DataFrame, anchors: DataFrame) -> DataFrame:
-    """block line -> nearest anchor line; ties: the following one, then the lower line, then the id."""
-    met = blocks.join(anchors, "doc_id").withColumns({"dist": F.abs(F.col("anchor_line") - F.col("line_no")), "behind": (F.col("anchor_line") < F.col("line_no")).cast("int")})
-    best = met.groupBy("doc_id", "line_no").agg(F.min(F.struct("dist", "behind", "anchor_line", "anchor_id")).alias("a"))
+    """block line -> nearest anchor line; ties: the following one, then the lower line, then the id. Two running windows, no pairs."""
+    marks = anchors.groupBy("doc_id", F.col("anchor_line").alias("line_no")).agg(F.min("anchor_id").alias("anchor_id"))
+    rows = blocks.select("doc_id", "line_no", F.lit(None).cast(marks.schema["anchor_id"].dataType).alias("anchor_id"), F.lit(True).alias("asks")).unionByName(marks.withColumn("asks", F.lit(False)))
+    mark = F.when(~F.col("asks"), F.struct("line_no", "anchor_id"))
+    w = W.partitionBy("doc_id").orderBy("line_no")
+    seen = rows.withColumns({"p": F.max(mark).over(w.rangeBetween(W.unboundedPreceding, -1)), "n": F.min(mark).over(w.rangeBetween(W.currentRow, W.unboundedFollowing))}).filter("asks")
+    way = lambda c, behind: F.when(F.col(c).isNotNull(), F.struct(F.abs(F.col(f"{c}.line_no") - F.col("line_no")).alias("dist"), F.lit(behind).alias("behind"), F.col(f"{c}.anchor_id").alias("anchor_id")))
+    best = seen.withColumn("a", F.least(way("p", 1), way("n", 0))).filter(F.col("a").isNotNull())
     return best.select("doc_id", "line_no", "a.anchor_id", F.col("a.dist").alias("dist"), F.when(F.col("a.dist") <= 2, 0.90).otherwise(0.65).alias("confidence"))
 
 
 def alignment_status(facts: DataFrame) -> DataFrame:
     """facts (markdown_chars, layout_chars, layout_blocks, layout_text_blocks, matched) with coverage, share and status."""
-    coverage = F.when(F.col("markdown_chars") > 0, F.least(F.lit(1.0), F.col("layout_chars") / F.col("markdown_chars"))).otherwise(0.0)
+    coverage = F.when(F.col("markdown_chars") > 0, F.least(F.lit(1.0), F.col("layout_chars") / F.col("markdown_chars"))).otherwise(1.0)
     share = F.when(F.col("layout_blocks") > 0, F.col("layout_text_blocks") / F.col("layout_blocks")).otherwise(0.0)
     status = F.when(F.col("markdown_chars").isNull(), "missing_markdown").when((F.col("markdown_chars") < 200) | (coverage >= 0.20) | (share >= 0.10), "not_needed").when(F.col("matched") == 0, "unavailable_no_image_matches").otherwise("active")
     return facts.withColumns({"coverage": coverage, "share": share, "status": status})

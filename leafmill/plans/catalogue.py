@@ -64,10 +64,13 @@ def first_sentence_title(spark, d):
     return table(spark, d, "documents").select("doc_id", T.first_sentence(F.col("text")).alias("title"))
 
 
-@query("SELECT doc_id, md5(lower(regexp_replace(regexp_replace(text, '\\s+', ' ', 'g'), '^\\s+|\\s+$', '', 'g'))) AS digest FROM documents WHERE NOT contains(text, '`') AND NOT contains(text, '![') AND lang = 'en'")
+MARKED = "text || chr(10) || '![' || source || '](x/' || doc_id || '.png) `' || lang || '` **B** ```' || chr(10) || 'code' || chr(10) || '``` End'"
+
+
+@query(f"SELECT doc_id, md5(lower(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace({MARKED}, '!\\[([^\\]]*)\\]\\([^)]+\\)', '\\1', 'g'), '(?s)```.*?```', ' ', 'g'), '`[^`]*`', ' ', 'g'), '\\s+', ' ', 'g'), '^\\s+|\\s+$', '', 'g'))) AS digest, length(text) > 0 AS some FROM documents")
 def normalized_text(spark, d):
-    rows = table(spark, d, "documents").filter(~F.contains("text", F.lit("`")) & ~F.contains("text", F.lit("![")) & (F.col("lang") == "en"))
-    return rows.select("doc_id", F.md5(T.normalized(F.col("text")).cast("binary")).alias("digest"))
+    rows = table(spark, d, "documents").withColumn("marked", F.concat("text", F.lit("\n!["), "source", F.lit("](x/"), F.col("doc_id").cast("string"), F.lit(".png) `"), "lang", F.lit("` **B** ```\ncode\n``` End")))
+    return rows.select("doc_id", F.md5(T.normalized(F.col("marked")).cast("binary")).alias("digest"), (F.length("text") > 0).alias("some"))
 
 
 NOISE_ROWS = [(1, "", ""), (2, "", "ab!"), (3, "学而思 课堂", "长文"), (4, "#", "x"), (5, "U", "U"), (6, "118", "118"), (7, "8-2", "8-2"), (8, "10", "10"), (9, "A1", "A1 short"), (10, "定义 三角形", "内容"), (11, "1234", "1234"), (12, "U", "a body that is long enough to be kept here")]
@@ -155,11 +158,11 @@ def _topic_sql() -> str:
         hits = [f"contains({clean}, '{k}')::INT" for k in t.keywords] + [f"regexp_matches(s, '{p}')::INT" for p in t.patterns]
         veto = " OR ".join([f"contains(s, '{k}')" for k in t.negative_keywords] + [f"regexp_matches(s, '{p}')" for p in t.negative_patterns]) or "false"
         parts.append(f"SELECT doc_id, '{t.topic_id}' AS topic_id, CASE WHEN {veto} THEN 0 ELSE {' + '.join(hits)} END AS score, {t.priority} AS priority, {i} AS topic_order FROM src")
-    return "WITH src AS (SELECT doc_id, lower(text) AS s FROM documents WHERE lang <> 'de' OR NOT contains(text, 'ß')), scores AS (SELECT * FROM ({}) WHERE score >= 1)".format(" UNION ALL ".join(parts))
+    return "WITH src AS (SELECT doc_id, lower(text) AS s FROM documents), scores AS (SELECT * FROM ({}) WHERE score >= 1)".format(" UNION ALL ".join(parts))
 
 
 def _items(spark, d):
-    return table(spark, d, "documents").filter((F.col("lang") != "de") | ~F.contains("text", F.lit("ß"))).select("doc_id", "text")
+    return table(spark, d, "documents").select("doc_id", "text")
 
 
 TOP_SQL = _topic_sql() + ", best AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, priority DESC, topic_order) AS rank FROM scores), assigned AS (SELECT src.doc_id, coalesce(topic_id, '_misc') AS topic_id, coalesce(rank, 1) AS rank, coalesce(score, 0) AS score FROM src LEFT JOIN (SELECT * FROM best WHERE rank <= 4) USING (doc_id))"
@@ -219,7 +222,10 @@ def asset_dedup_sha256(spark, d):
 NAME_SQL = "regexp_extract(regexp_replace(url, '[?#].*$', ''), '([^/]*)$', 1)"
 
 
-@query(f"SELECT {NAME_SQL} AS name, min(page_id) AS page_id FROM pages GROUP BY 1 HAVING count(DISTINCT page_id) = 1 AND {NAME_SQL.replace('url', 'min(url)')} <> ''".replace("HAVING count", "HAVING count"))
+TAIL_SQL = "regexp_extract(url, '([^/]*)$', 1)"
+
+
+@query(f"SELECT {TAIL_SQL} AS name, min(page_id) AS page_id FROM pages GROUP BY 1 HAVING count(DISTINCT page_id) = 1 AND {TAIL_SQL.replace('url', 'min(url)')} <> ''")
 def url_basename_unique(spark, d):
     return media.unambiguous_names(table(spark, d, "pages"), "url", "page_id")
 
@@ -232,7 +238,7 @@ def ref_backfill_anti(spark, d):
 @query("SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text)")
 def phrase_in_context(spark, d):
     phrases = table(spark, d, "benchmark").select("item_id", F.col("text").alias("phrase"))
-    return table(spark, d, "documents").join(phrases, F.contains("text", F.col("phrase"))).select("doc_id", "item_id")
+    return media.holding(table(spark, d, "documents").select("doc_id", "text"), phrases, "text", "phrase").select("doc_id", "item_id")
 
 
 @query("""
@@ -278,7 +284,7 @@ def template_clusters(spark, d):
 
 @query("""
     WITH u AS (SELECT doc_id % 100 AS figure_id, doc_id AS item_id FROM documents), r AS (SELECT doc_id % 100 AS figure_id, doc_id AS item_id, CASE WHEN toxic = 1 THEN 'decor' WHEN quality = 1 THEN 'content' ELSE 'ambiguous' END AS role, doc_id AS ord FROM labels),
-    o AS (SELECT user_id % 100 AS figure_id, max_by(CASE WHEN event_type = (SELECT min(event_type) FROM events) THEN 'decor' ELSE 'content' END, event_id) AS role FROM events WHERE user_id % 7 = 0 GROUP BY 1), f AS (SELECT figure_id, max_by(role, ord) AS role FROM r GROUP BY 1)
+    o AS (SELECT user_id * 3 AS figure_id, max_by(CASE WHEN event_type = (SELECT min(event_type) FROM events) THEN 'decor' ELSE 'content' END, event_id) AS role FROM events GROUP BY 1), f AS (SELECT figure_id, max_by(role, ord) AS role FROM r GROUP BY 1)
     SELECT u.figure_id, u.item_id, coalesce(o.role, r.role, f.role, 'ambiguous') AS role FROM u LEFT JOIN o USING (figure_id) LEFT JOIN r ON r.figure_id = u.figure_id AND r.item_id = u.item_id LEFT JOIN f ON f.figure_id = u.figure_id""")
 def role_effective(spark, d):
     uses = table(spark, d, "documents").select((F.col("doc_id") % 100).alias("figure_id"), F.col("doc_id").alias("item_id"))
@@ -286,7 +292,7 @@ def role_effective(spark, d):
     records = table(spark, d, "labels").select((F.col("doc_id") % 100).alias("figure_id"), F.col("doc_id").alias("item_id"), role.alias("role"), F.col("doc_id").alias("ord"))
     ev = table(spark, d, "events")
     first = ev.agg(F.min("event_type").alias("t"))
-    over = ev.filter(F.col("user_id") % 7 == 0).crossJoin(F.broadcast(first)).select((F.col("user_id") % 100).alias("figure_id"), F.when(F.col("event_type") == F.col("t"), "decor").otherwise("content").alias("role"), F.col("event_id").alias("ord"))
+    over = ev.crossJoin(F.broadcast(first)).select((F.col("user_id") * 3).alias("figure_id"), F.when(F.col("event_type") == F.col("t"), "decor").otherwise("content").alias("role"), F.col("event_id").alias("ord"))
     return media.effective_role(uses, records, over)
 
 
@@ -316,24 +322,33 @@ EVIDENCE_SQL = "CASE user_id % 5 WHEN 0 THEN 'problem_text_and_diagram_mark' WHE
 def _reviewed(spark, d):
     ev, n, m = table(spark, d, "events"), F.col("user_id") % 5, F.col("event_id") % 3
     evidence = F.when(n == 0, "problem_text_and_diagram_mark").when(n == 1, "problem_text").when(n == 2, "diagram_mark").when(n == 3, "visual_inference").otherwise("unknown")
-    rels = ev.filter(F.col("user_id") % 11 != 0).select(F.col("user_id").alias("figure_id"), F.col("event_type").alias("key"), evidence.alias("evidence"), F.lit("unreviewed").alias("review_state")).distinct()
-    dec = ev.select(F.col("user_id").alias("figure_id"), F.col("event_type").alias("key"), F.when(m == 0, "confirm").when(m == 1, "correct").otherwise("reject").alias("action"), F.col("event_id").alias("ord"))
+    rels = ev.filter(F.col("user_id") % 11 != 0).select(F.col("user_id").alias("figure_id"), F.lit("kind").alias("type"), F.array("event_type").alias("entities"), F.concat(F.lit("kind::"), "event_type").alias("key"), evidence.alias("evidence"), F.lit("unreviewed").alias("review_state")).distinct()
+    dec = ev.select(F.col("user_id").alias("figure_id"), F.concat(F.lit("kind::"), "event_type").alias("key"), F.when(m == 0, "confirm").when(m == 1, "correct").otherwise("reject").alias("action"), F.col("event_id").alias("ord"))
     return rels, dec
 
 
+def _valid(spark, d):
+    """The decisions that may be applied: a review fails on the others."""
+    rels, dec = _reviewed(spark, d)
+    return rels, dec.join(facts.violations(rels, dec).select("ord"), "ord", "left_anti")
+
+
 @query(f"SELECT event_id AS ord, CASE WHEN user_id % 11 = 0 THEN 'unknown_relation' ELSE 'not_promotable' END AS violation FROM events WHERE user_id % 11 = 0 OR (event_id % 3 = 0 AND {EVIDENCE_SQL} IN ('visual_inference', 'unknown'))")
 def promotion_violations(spark, d):
     return facts.violations(*_reviewed(spark, d)).select("ord", "violation")
 
 
-@query(f"WITH s AS (SELECT user_id, event_type, {EVIDENCE_SQL} AS evidence, max_by({ACTIONS_SQL}, event_id) AS a FROM events WHERE user_id % 11 <> 0 GROUP BY ALL) SELECT CASE a WHEN 'confirm' THEN 'confirmed' WHEN 'correct' THEN 'corrected' ELSE 'rejected' END AS review_state, evidence, count(*) AS n FROM s GROUP BY 1, 2")
+LAST_SQL = f"WITH e AS (SELECT *, {EVIDENCE_SQL} AS evidence, {ACTIONS_SQL} AS action FROM events WHERE user_id % 11 <> 0), s AS (SELECT user_id, event_type, evidence, max_by(action, event_id) FILTER (action <> 'confirm' OR evidence NOT IN ('visual_inference', 'unknown')) AS a FROM e GROUP BY ALL)"
+
+
+@query(LAST_SQL + " SELECT CASE a WHEN 'confirm' THEN 'confirmed' WHEN 'correct' THEN 'corrected' WHEN 'reject' THEN 'rejected' ELSE 'unreviewed' END AS review_state, evidence, count(*) AS n FROM s GROUP BY 1, 2")
 def review_state_counts(spark, d):
-    return facts.apply_decisions(*_reviewed(spark, d)).groupBy("review_state", "evidence").agg(F.count(F.lit(1)).alias("n"))
+    return facts.apply_decisions(*_valid(spark, d)).groupBy("review_state", "evidence").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"WITH s AS (SELECT user_id, {EVIDENCE_SQL} AS evidence, max_by({ACTIONS_SQL}, event_id) AS a FROM events WHERE user_id % 11 <> 0 GROUP BY user_id, event_type, evidence) SELECT DISTINCT user_id AS figure_id FROM s WHERE evidence IN ('visual_inference', 'unknown') AND a = 'reject'")
+@query(LAST_SQL + " SELECT DISTINCT user_id AS figure_id FROM s WHERE evidence IN ('visual_inference', 'unknown') AND coalesce(a, 'reject') = 'reject'")
 def blocked_figures(spark, d):
-    return facts.blocked_figures(facts.apply_decisions(*_reviewed(spark, d)))
+    return facts.blocked_figures(facts.apply_decisions(*_valid(spark, d)))
 
 
 @query("SELECT user_id % 20 AS doc_id, event_type AS stage, min(ts) AS first_started_at, max(ts) AS last_updated_at, max_by(CASE WHEN event_id % 4 = 0 THEN 'completed' WHEN event_id % 4 = 1 THEN 'failed' ELSE 'running' END, event_id) AS status, max_by('f' || (event_id % 10), event_id) FILTER (event_id % 5 <> 0) AS input_fingerprint FROM events GROUP BY 1, 2")
@@ -343,9 +358,18 @@ def stage_latest(spark, d):
     return stages.fold_records(rows).select("doc_id", "stage", "first_started_at", "last_updated_at", "status", "input_fingerprint")
 
 
-@query("SELECT ts::DATE AS day, sum(event_id % 7)::BIGINT AS pages, CASE WHEN sum(event_id % 7) > 1000 THEN 'refuse' WHEN sum(event_id % 7) >= 900 THEN 'warn' ELSE 'allow' END AS state FROM events GROUP BY 1")
+@query("SELECT ts::DATE AS day, sum(event_id % 7)::BIGINT AS pages FROM events GROUP BY 1")
 def daily_quota(spark, d):
-    return quality.quota(table(spark, d, "events").select("ts", (F.col("event_id") % 7).alias("pages")), 1000)
+    return quality.pages_used(table(spark, d, "events").select("ts", (F.col("event_id") % 7).alias("pages")))
+
+
+@query("""WITH s AS (SELECT event_id, user_id % 2 = 0 AS today, event_id % 1100 AS used, CASE WHEN event_id % 5 = 0 THEN NULL ELSE event_id % 400 - 20 END AS est FROM events), n AS (SELECT *, CASE WHEN today THEN used ELSE 0 END AS now FROM s)
+    SELECT event_id, CASE WHEN est IS NULL AND now >= 1000 THEN 'REFUSE_PRE' WHEN est IS NULL THEN 'WARN_LIVE' WHEN est > 0 AND now + est > 1000 THEN 'REFUSE_PRE' ELSE 'ALLOW' END AS decision FROM n""")
+def quota_decisions(spark, d):
+    day = lambda x: F.lit(x).cast("date")
+    k = F.col("event_id")
+    said = quality.quota_decision(F.when(F.col("user_id") % 2 == 0, day("2024-02-02")).otherwise(day("2024-02-01")), day("2024-02-02"), k % 1100, F.lit(1000), F.when(k % 5 != 0, k % 400 - 20))
+    return table(spark, d, "events").select("event_id", said.alias("decision"))
 
 
 @query("""
@@ -399,9 +423,10 @@ def plan_sequence(spark, d):
     return planning.plan_items(c.select(topic.alias("topic_id"), F.concat_ws("-", "conv_id", "turn").alias("item_id"), F.col("role").alias("item_type"), F.col("turn").alias("item_seq")))
 
 
-@query("SELECT a.conv_id, a.turn FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1 WHERE length(trim(a.text, ' ')) >= 10 AND NOT regexp_matches(trim(a.text, ' '), '[。！？!?.;；:：]$') AND NOT regexp_matches(b.text, '^\\s*([-*+•]|[0-9]+[.)、])')")
+@query("WITH c AS (SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN left(text, 30) || ' and' WHEN turn % 7 = 1 THEN '- ' || text ELSE text END AS text FROM conversations) SELECT a.conv_id, a.turn FROM c a JOIN c b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1 WHERE length(trim(a.text, ' ')) >= 10 AND NOT regexp_matches(trim(a.text, ' '), '[。！？!?.;；:：]$') AND NOT regexp_matches(b.text, '^\\s*([-*+•]|[0-9]+[.)、])')")
 def adjacent_continuation(spark, d):
-    c = table(spark, d, "conversations")
+    cut = F.when(F.col("turn") % 3 == 0, F.concat(F.substring("text", 1, 30), F.lit(" and"))).when(F.col("turn") % 7 == 1, F.concat(F.lit("- "), "text")).otherwise(F.col("text"))
+    c = table(spark, d, "conversations").withColumn("text", cut)
     blocks = c.select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("page_index"), F.lit(0).alias("block_order"), F.col("turn").alias("block_id"), F.lit("text").alias("type"), "text", F.lit(None).cast("array<double>").alias("bbox"))
     return structure.continuations(blocks).select(F.col("doc_id").alias("conv_id"), F.col("source_id").alias("turn"))
 
@@ -427,21 +452,46 @@ def nearest_unique(spark, d):
     return structure.captions(rows).select("source_id", "target_id", "kind")
 
 
-FIGS = [(1, "AB∥CD，交于点 E", None), (2, "M 是 AB 的中点", "图"), (3, "AB 垂直 CD 且 AB=CD", None), (4, "nothing here", None), (5, "Segment AB and CD: AB // CD", "cap")]
+FIGS = [(1, "AB ∥ CD，交于点 E", ""), (2, "M 是 AB 的中点", "图"), (3, "AB 垂直 CD 且 AB = CD", ""), (4, "nothing here", ""), (5, "Segment AB and CD: AB // CD", "cap"), (6, "说明三角形 ABC", "AB ∥ CD"), (7, "in the text \\triangle{P Q R} with ∠ and 角 Q 相等", ""), (8, "点 A 点 B 共线", ""), (9, "\\overline{XY} \\perp ZW", "XY ⊥ ZW"), (10, "AA 等长 BB and EF", ""), (11, "三点 C D 在同一直线", None), (12, None, "GH 等长 KL"), (13, "midpoint", "")]
+
+
+def _figures_sql() -> str:
+    quote = lambda x: "NULL" if x is None else "'" + x.replace("'", "''") + "'"
+    rows = ", ".join(f"({i}, {quote(t)}, {quote(c)})" for i, t, c in FIGS)
+    rules = ", ".join(f"({k}, '{t}', '{p}')" for k, (t, p) in enumerate(facts.RULES.items()))
+    return f"""WITH src AS (SELECT id, coalesce(t, '') AS body, coalesce(c, '') AS said FROM (VALUES {rows}) v(id, t, c)), rules AS (SELECT * FROM (VALUES {rules}) r(k, type, pattern)),
+    both_ AS (SELECT id, 0 AS which, body AS x FROM src UNION ALL SELECT id, 1, said FROM src),
+    letter AS (SELECT id, which, unnest(regexp_extract_all(regexp_replace(x, '\\\\[a-z][A-Za-z]*', ' ', 'g'), '[A-Z]')) AS p, generate_subscripts(regexp_extract_all(regexp_replace(x, '\\\\[a-z][A-Za-z]*', ' ', 'g'), '[A-Z]'), 1) AS i FROM both_),
+    firsts AS (SELECT id, which, p, min(i) AS i FROM letter GROUP BY ALL), chosen AS (SELECT id, min(which) AS which FROM firsts GROUP BY 1),
+    pts AS (SELECT f.id, f.p, row_number() OVER (PARTITION BY f.id ORDER BY f.i) AS i FROM firsts f JOIN chosen USING (id, which)),
+    word AS (SELECT id, which, unnest(regexp_extract_all(x, '[\\p{{L}}\\p{{N}}_]+')) AS w, generate_subscripts(regexp_extract_all(x, '[\\p{{L}}\\p{{N}}_]+'), 1) AS i FROM both_),
+    pair AS (SELECT id, which, w, min(i) AS i FROM word WHERE regexp_full_match(w, '[A-Z][A-Z]') AND w[1] <> w[2] AND EXISTS (SELECT 1 FROM pts WHERE pts.id = word.id AND pts.p = w[1]) AND EXISTS (SELECT 1 FROM pts WHERE pts.id = word.id AND pts.p = w[2]) GROUP BY ALL),
+    side AS (SELECT id, min(which) AS which FROM pair GROUP BY 1), segs AS (SELECT pair.id, w AS s, pair.i FROM pair JOIN side USING (id, which)),
+    fired AS (SELECT id, k, type, pattern, said, regexp_matches(body, pattern) AS in_text FROM src, rules WHERE regexp_matches(body, pattern) OR regexp_matches(said, pattern)),
+    ents AS (SELECT f.id, f.type, s AS e FROM fired f JOIN segs USING (id) WHERE type IN ('equal_length', 'parallel', 'perpendicular', 'midpoint', 'point_on_segment', 'collinear')
+      UNION ALL SELECT f.id, f.type, s || '+' || p FROM fired f JOIN segs USING (id) JOIN pts USING (id) WHERE type IN ('midpoint', 'point_on_segment', 'collinear') AND NOT contains(s, p)
+      UNION ALL SELECT f.id, f.type, a.p || '+' || b.p FROM fired f JOIN pts a USING (id) JOIN pts b USING (id) WHERE type IN ('midpoint', 'point_on_segment', 'collinear') AND a.i < b.i AND NOT EXISTS (SELECT 1 FROM segs WHERE segs.id = f.id)
+      UNION ALL SELECT f.id, f.type, a.p || '+' || b.p || '+' || c.p FROM fired f JOIN pts a USING (id) JOIN pts b USING (id) JOIN pts c USING (id) WHERE type = 'equal_angle' AND a.i < b.i AND c.i >= a.i + 2)"""
 
 
-@query("""SELECT * FROM (VALUES (1, 'parallel', 'AB+CD', 'problem_text', 0.9::DOUBLE), (2, 'midpoint', 'M+AB', 'problem_text_and_diagram_mark', 0.95::DOUBLE), (3, 'perpendicular', 'AB+CD', 'problem_text', 0.9::DOUBLE), (3, 'equal_length', 'AB+CD', 'problem_text', 0.9::DOUBLE)) v(figure_id, type, entities, evidence, confidence)""")
+def _figures(spark):
+    return spark.createDataFrame(FIGS, "figure_id int, text string, caption string")
+
+
+@query(_figures_sql() + " SELECT ents.id AS figure_id, ents.type, e AS entities, ev AS evidence, CASE ev WHEN 'problem_text' THEN 0.9 WHEN 'diagram_mark' THEN 0.7 ELSE 0.95 END::DOUBLE AS confidence FROM ents JOIN (SELECT id, type, CASE WHEN said <> '' AND in_text THEN 'problem_text_and_diagram_mark' WHEN said <> '' THEN 'diagram_mark' ELSE 'problem_text' END AS ev FROM fired) g ON g.id = ents.id AND g.type = ents.type")
 def relation_extract(spark, d):
-    rows = spark.createDataFrame(FIGS[:4], "figure_id int, text string, caption string").withColumn("text", F.replace(F.replace("text", F.lit("AB∥CD"), F.lit("AB ∥ CD A B C D")), F.lit("AB 垂直 CD"), F.lit("A B C D AB 垂直 CD")))
-    rows = rows.withColumn("text", F.replace("text", F.lit("M 是 AB"), F.lit("A B M 是 AB")))
-    got = facts.relations(rows)
-    return got.select("figure_id", "type", F.array_join("entities", "+").alias("entities"), "evidence", "confidence")
+    return facts.relations(_figures(spark)).select("figure_id", "type", F.array_join("entities", "+").alias("entities"), "evidence", "confidence")
+
+
+@query(_figures_sql() + " SELECT id AS figure_id, type || ': ' || pattern AS observation FROM fired f WHERE NOT EXISTS (SELECT 1 FROM ents WHERE ents.id = f.id AND ents.type = f.type)")
+def relation_observations(spark, d):
+    return facts.observations(_figures(spark))
 
 
-@query("SELECT * FROM (VALUES ('parallel', 'zh', 'AB与CD平行'), ('parallel', 'en', 'AB is parallel to CD'), ('midpoint', 'zh', 'M是AB的中点'), ('midpoint', 'en', 'M is the midpoint of AB')) v(type, locale, sentence)")
+@query(_figures_sql() + ", locs AS (SELECT * FROM (VALUES ('zh'), ('en')) l(locale)) SELECT id AS figure_id, type, locale, e AS entities, CASE type WHEN 'parallel' THEN CASE locale WHEN 'zh' THEN x[1] || ' 平行于 ' || coalesce(x[2], '') || '。' ELSE x[1] || ' is parallel to ' || coalesce(x[2], '') || '.' END WHEN 'perpendicular' THEN CASE locale WHEN 'zh' THEN x[1] || ' 垂直于 ' || coalesce(x[2], '') || '。' ELSE x[1] || ' is perpendicular to ' || coalesce(x[2], '') || '.' END WHEN 'equal_length' THEN CASE locale WHEN 'zh' THEN x[1] || ' 与 ' || coalesce(x[2], '') || ' 等长。' ELSE x[1] || ' and ' || coalesce(x[2], '') || ' have equal length.' END WHEN 'equal_angle' THEN CASE locale WHEN 'zh' THEN '∠' || array_to_string(x, '') || ' = ∠。' ELSE '∠' || array_to_string(x, '') || ' and ∠ are equal.' END WHEN 'midpoint' THEN CASE locale WHEN 'zh' THEN x[1] || ' 是 ' || coalesce(x[2], '') || ' 的中点。' ELSE x[1] || ' is the midpoint of ' || coalesce(x[2], '') || '.' END WHEN 'collinear' THEN CASE locale WHEN 'zh' THEN x[1] || '、' || coalesce(x[2], '') || '、 三点共线。' ELSE x[1] || ', ' || coalesce(x[2], '') || ', and  are collinear.' END END AS sentence FROM (SELECT *, string_split(e, '+') AS x FROM ents), locs")
 def relation_sentences(spark, d):
-    rows = spark.createDataFrame([(t, loc, e) for t, e in (("parallel", ["AB", "CD"]), ("midpoint", ["M", "AB"])) for loc in ("zh", "en")], "type string, locale string, entities array<string>")
-    return facts.sentences(rows, F.col("locale")).select("type", "locale", "sentence")
+    rows = facts.relations(_figures(spark)).withColumn("locale", F.explode(F.array(F.lit("zh"), F.lit("en"))))
+    return facts.sentences(rows, F.col("locale")).select("figure_id", "type", "locale", F.array_join("entities", "+").alias("entities"), "sentence")
 
 
 @query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")

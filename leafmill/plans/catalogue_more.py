@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from leafmill.functions import text as T
 from leafmill.operators import facts, media, planning, quality, structure
 from leafmill.plans import stages
-from leafmill.plans.catalogue import NAME_SQL, query, table
+from leafmill.plans.catalogue import NAME_SQL, TAIL_SQL, query, table
 
 
-@query(f"SELECT page_id, {NAME_SQL} AS name, regexp_replace(regexp_replace(url, '[?#].*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/]*', '') AS path, regexp_replace(regexp_replace(lower(url), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug FROM pages WHERE NOT contains(url, '%')")
+@query(f"SELECT page_id, {NAME_SQL} AS name, url_decode(regexp_replace(regexp_replace(url, '[?#].*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/]*', '')) AS path, regexp_replace(regexp_replace(lower(url), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug FROM (SELECT page_id, replace(replace(url, '/en/', '/e%6E%20/'), '/fr/', '/%66r/') AS url FROM pages)")
 def url_parts(spark, d):
-    pages = table(spark, d, "pages").filter(~F.contains("url", F.lit("%")))
+    odd = F.replace(F.replace("url", F.lit("/en/"), F.lit("/e%6E%20/")), F.lit("/fr/"), F.lit("/%66r/"))
+    pages = table(spark, d, "pages").select("page_id", odd.alias("url"))
     return pages.select("page_id", T.basename(F.col("url")).alias("name"), T.url_path(F.col("url")).alias("path"), T.slug(F.col("url")).alias("slug"))
 
 
@@ -37,7 +38,7 @@ def meta_blocks(spark, d):
 @query("SELECT d.doc_id, b.item_id, substr(d.text, greatest(1, position(b.text IN d.text) - 50), position(b.text IN d.text) - greatest(1, position(b.text IN d.text) - 50) + length(b.text) + 50) AS context FROM documents d JOIN benchmark b ON contains(d.text, b.text)")
 def local_context(spark, d):
     phrases = table(spark, d, "benchmark").select("item_id", F.col("text").alias("phrase"))
-    met = table(spark, d, "documents").join(phrases, F.contains("text", F.col("phrase")))
+    met = media.holding(table(spark, d, "documents").select("doc_id", "text"), phrases, "text", "phrase")
     return met.select("doc_id", "item_id", T.local_context(F.col("text"), F.col("phrase"), 50).alias("context"))
 
 
@@ -50,34 +51,31 @@ def asset_gate(spark, d):
     return table(spark, d, "pages").select("page_id", verdict.alias("verdict"))
 
 
-@query("""WITH r AS (SELECT user_id, list(struct_pack(e := CASE event_id % 3 WHEN 0 THEN 'problem_text' WHEN 1 THEN 'visual_inference' ELSE 'diagram_mark' END, s := CASE WHEN user_id % 4 = 0 THEN 'confirmed' ELSE 'unreviewed' END)) FILTER (event_type = 'click' AND event_id % 60 < 4) AS l FROM events GROUP BY 1)
-    SELECT user_id, CASE WHEN user_id % 5 = 0 THEN 'no_asset' WHEN coalesce(len(l), 0) = 0 THEN 'no_relations' WHEN user_id % 4 = 0 THEN 'all_confirmed' WHEN len(list_filter(l, lambda x: x.e = 'visual_inference')) > 0 THEN 'call:weak' WHEN len(list_filter(l, lambda x: x.e = 'problem_text')) > 0 THEN 'text_suffices' ELSE 'call:unclear' END AS verdict FROM r""")
+@query("""WITH r AS (SELECT user_id, count(*) FILTER (event_id % 4 > 0 AND user_id % 9 > 0) AS n, count(*) FILTER (event_id % 4 > 0 AND user_id % 9 > 0 AND user_id % 4 > 0) AS firm, min(event_id % 10) FILTER (event_id % 4 > 0) AS low FROM events GROUP BY 1)
+    SELECT user_id, CASE WHEN n = 0 AND user_id % 2 = 0 THEN 'rules_blank' WHEN n = 0 THEN 'rules_blank_no_relations' WHEN firm = 0 THEN 'rules_only_non_promotable' WHEN low < 5 AND user_id % 5 > 0 THEN 'rules_low_confidence' WHEN user_id % 2 > 0 THEN 'rules_have_visual_observations' ELSE 'rules_sufficient' END AS reason, reason <> 'rules_sufficient' AS call FROM r""")
 def model_gate(spark, d):
-    m = F.col("event_id") % 3
-    ev = F.when(m == 0, "problem_text").when(m == 1, "visual_inference").otherwise("diagram_mark")
-    row = F.struct(ev.alias("evidence"), F.when(F.col("user_id") % 4 == 0, "confirmed").otherwise("unreviewed").alias("review_state"))
-    rels = table(spark, d, "events").groupBy("user_id").agg(F.collect_list(F.when((F.col("event_type") == "click") & (F.col("event_id") % 60 < 4), row)).alias("r"))
-    return rels.select("user_id", quality.model_gate(F.col("r"), F.col("user_id") % 5 != 0).alias("verdict"))
+    k, u = F.col("event_id"), F.col("user_id")
+    row = F.struct(F.when(u % 4 > 0, "problem_text").otherwise("unknown").alias("evidence"), F.when(u % 5 > 0, (k % 10) / 10).otherwise(F.lit(0.9)).alias("confidence"))
+    rels = table(spark, d, "events").groupBy("user_id").agg(F.collect_list(F.when((k % 4 > 0) & (u % 9 > 0), row)).alias("r"))
+    gate = quality.model_gate(F.col("r"), F.when(u % 2 > 0, F.array(F.lit("seen"))).otherwise(F.array().cast("array<string>")))
+    return rels.select("user_id", gate["reason"].alias("reason"), gate["call"].alias("call"))
 
 
-@query(f"""WITH n AS (SELECT {NAME_SQL} AS name, min(page_id) AS page_id, count(DISTINCT page_id) AS k FROM pages GROUP BY 1), r AS (SELECT page_id AS ref_id, CASE WHEN page_id % 3 = 0 THEN url ELSE 'local/' || {NAME_SQL} END AS url FROM pages), u AS (SELECT url, min(page_id) AS page_id FROM pages GROUP BY 1)
-    SELECT r.ref_id, coalesce(u.page_id, CASE WHEN n.k = 1 AND n.name <> '' THEN n.page_id END) AS page_id FROM r LEFT JOIN u ON u.url = r.url LEFT JOIN n ON n.name = {NAME_SQL.replace('url', 'r.url')}""")
+@query(f"""WITH n AS (SELECT {TAIL_SQL} AS name, min(page_id) AS page_id, count(DISTINCT page_id) AS k FROM pages GROUP BY 1), r AS (SELECT page_id AS ref_id, CASE WHEN page_id % 3 = 0 THEN url ELSE 'local/' || {TAIL_SQL} END AS url FROM pages), u AS (SELECT url, max(page_id) AS page_id FROM pages GROUP BY 1)
+    SELECT r.ref_id, coalesce(u.page_id, CASE WHEN n.k = 1 AND n.name <> '' THEN n.page_id END) AS page_id FROM r LEFT JOIN u ON u.url = r.url LEFT JOIN n ON n.name = {TAIL_SQL.replace('url', 'r.url')}""")
 def resolve_references(spark, d):
     pages = table(spark, d, "pages").select("page_id", "url")
-    first = pages.groupBy("url").agg(F.min("page_id").alias("page_id"))
-    refs = pages.select(F.col("page_id").alias("ref_id"), F.when(F.col("page_id") % 3 == 0, F.col("url")).otherwise(F.concat(F.lit("local/"), T.basename(F.col("url")))).alias("ref"))
-    names = media.unambiguous_names(pages, key="page_id").select(F.col("name").alias("_n"), F.col("page_id").alias("by_name"))
-    out = refs.join(first.select(F.col("url").alias("ref"), F.col("page_id").alias("exact")), "ref", "left").withColumn("_n", T.basename(F.col("ref"))).join(names, "_n", "left")
-    return out.select("ref_id", F.coalesce("exact", "by_name").alias("page_id"))
+    refs = pages.select(F.col("page_id").alias("ref_id"), F.when(F.col("page_id") % 3 == 0, F.col("url")).otherwise(F.concat(F.lit("local/"), media.tail(F.col("url")))).alias("ref"))
+    return media.resolve(refs, pages, key="page_id", order="page_id").select("ref_id", "page_id")
 
 
-@query("""WITH rules AS (SELECT DISTINCT user_id AS f, event_type AS t, user_id % 4 AS a, user_id % 3 AS b FROM events WHERE event_id % 2 = 0), model AS (SELECT event_id, user_id AS f, CASE WHEN event_id % 5 = 0 THEN 'other' ELSE event_type END AS t, user_id % 3 AS a, CASE WHEN event_id % 7 = 0 THEN 9 ELSE user_id % 4 END AS b FROM events WHERE event_id % 10 < 6)
+@query("""WITH rules AS (SELECT DISTINCT user_id AS f, event_type AS t, user_id % 4 AS a, user_id % 3 AS b FROM events WHERE event_id % 2 = 0), model AS (SELECT event_id, user_id AS f, CASE WHEN event_id % 5 = 0 THEN 'other' ELSE event_type END AS t, user_id % 3 AS a, CASE WHEN event_id % 7 = 0 THEN 9 ELSE user_id % 4 END AS b FROM events)
     SELECT event_id, CASE WHEN EXISTS (SELECT 1 FROM rules r WHERE r.f = m.f AND r.t = m.t AND list_sort([r.a, r.b]) = list_sort([m.a, m.b])) THEN 'agree' WHEN EXISTS (SELECT 1 FROM rules r WHERE r.f = m.f AND list_sort(list_distinct([r.a, r.b])) = list_sort(list_distinct([m.a, m.b]))) THEN 'conflict' ELSE 'new' END AS verdict FROM model m""")
 def merge_candidates(spark, d):
     ev = table(spark, d, "events")
     names = lambda a, b: F.array(a.cast("string"), b.cast("string"))
     rules = ev.filter("event_id % 2 = 0").select(F.col("user_id").alias("figure_id"), F.col("event_type").alias("type"), names(F.col("user_id") % 4, F.col("user_id") % 3).alias("entities")).distinct()
-    model = ev.filter("event_id % 10 < 6").select("event_id", F.col("user_id").alias("figure_id"), F.when(F.col("event_id") % 5 == 0, "other").otherwise(F.col("event_type")).alias("type"), names(F.col("user_id") % 3, F.when(F.col("event_id") % 7 == 0, 9).otherwise(F.col("user_id") % 4)).alias("entities"))
+    model = ev.select("event_id", F.col("user_id").alias("figure_id"), F.when(F.col("event_id") % 5 == 0, "other").otherwise(F.col("event_type")).alias("type"), names(F.col("user_id") % 3, F.when(F.col("event_id") % 7 == 0, 9).otherwise(F.col("user_id") % 4)).alias("entities"))
     keyed = lambda x: x.withColumn("key", T.relation_key(F.col("type"), F.col("entities")))
     return facts.merge_candidates(keyed(rules), keyed(model)).select("event_id", "verdict")
 
@@ -106,12 +104,15 @@ def figure_backfill(spark, d):
     return planning.backfill(marks, assets, existing)
 
 
-@query("SELECT DISTINCT c.c_custkey AS item_id, '_misc' AS topic_id FROM customer c JOIN orders o ON o.o_custkey = c.c_custkey WHERE o.o_orderstatus = 'F' AND c.c_custkey % 2 = 0")
+@query("""WITH i AS (SELECT c_custkey AS k, CASE c_custkey % 3 WHEN 0 THEN 'chapter' ELSE 'example' END AS kind, CASE WHEN c_custkey % 4 = 0 THEN '118' ELSE c_name END AS title FROM customer), own AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderstatus = 'F'), m AS (SELECT i.*, own.k IS NOT NULL AS owns, title = '118' AS noise FROM i LEFT JOIN own USING (k))
+    SELECT k::VARCHAR AS item_id, CASE WHEN noise OR kind = 'chapter' THEN '_misc' END AS topic_id, CASE WHEN noise THEN 'content_figure_on_noise_item' WHEN kind = 'chapter' THEN 'content_figure_on_intro_item' END AS reason, CASE WHEN noise AND k % 8 = 0 THEN '内容图（源页 ' || k || '）' WHEN noise THEN '内容图（' || k || '）' ELSE title END AS title, CASE WHEN noise THEN 'and more' ELSE title || ' and more' END AS text FROM m WHERE owns OR NOT (noise OR kind = 'chapter')""")
 def content_rescue(spark, d):
-    items = table(spark, d, "customer").filter("c_custkey % 2 = 0").select(F.col("c_custkey").alias("item_id"), F.lit("noise").alias("topic_id"))
+    k = F.col("c_custkey")
+    title = F.when(k % 4 == 0, "118").otherwise(F.col("c_name"))
+    items = table(spark, d, "customer").select(k.cast("string").alias("item_id"), F.when(k % 3 == 0, "chapter").otherwise("example").alias("item_type"), title.alias("title"), F.concat(title, F.lit(" and more")).alias("text"), F.when(k % 8 == 0, F.array(k)).otherwise(F.array().cast("array<bigint>")).alias("pages"))
     o = table(spark, d, "orders")
-    assets = o.select(F.col("o_custkey").alias("item_id"), F.col("o_orderkey").alias("asset_id"))
-    return planning.content_rescue(items, assets, o.filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("asset_id"))).select("item_id", "topic_id")
+    assets = o.select(F.col("o_custkey").cast("string").alias("item_id"), F.col("o_orderkey").alias("asset_id"))
+    return planning.content_rescue(items, assets, o.filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("asset_id"))).select("item_id", "topic_id", "reason", "title", "text")
 
 
 @query("SELECT user_id, count(*) AS n, CASE WHEN user_id % 10 = 0 THEN 'missing_markdown' WHEN user_id < 20 OR least(1, count(*) / user_id) >= 0.2 OR (user_id % 7) / 50 >= 0.1 THEN 'not_needed' WHEN user_id % 3 = 0 THEN 'unavailable_no_image_matches' ELSE 'active' END AS status FROM events GROUP BY user_id")
@@ -130,9 +131,9 @@ def paired_images(spark, d):
     return structure.paired_images(md, lay).select(F.col("doc_id").alias("conv_id"), F.col("path").alias("role"), "k", "line_no", "block")
 
 
-@query("SELECT user_id % 20 AS doc_id, sha256(string_agg(event_type || ':' || event_id, chr(10) ORDER BY event_type || ':' || event_id COLLATE \"C\")) AS fingerprint FROM events WHERE event_id < 3000 GROUP BY 1".replace(' COLLATE "C"', ""))
+@query("SELECT user_id AS doc_id, sha256(string_agg(event_type || ':' || event_id, chr(10) ORDER BY event_type || ':' || event_id)) AS fingerprint FROM events GROUP BY 1")
 def stage_fingerprints(spark, d):
-    g = table(spark, d, "events").filter("event_id < 3000").groupBy((F.col("user_id") % 20).alias("doc_id")).agg(F.collect_list(F.concat_ws(":", "event_type", "event_id")).alias("parts"))
+    g = table(spark, d, "events").groupBy(F.col("user_id").alias("doc_id")).agg(F.collect_list(F.concat_ws(":", "event_type", "event_id")).alias("parts"))
     return g.select("doc_id", stages.fingerprint(F.col("parts")).alias("fingerprint"))
 
 

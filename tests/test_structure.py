@@ -57,8 +57,8 @@ def test_hamming_pairs_are_exact(spark):
 
 def test_resolve_and_figures(spark):
     urls = spark.createDataFrame([("http://x/a.png", "1"), ("http://y/a.png", "2"), ("http://x/b.png?q=1", "3")], "url string, asset_id string")
-    refs = spark.createDataFrame([("http://x/a.png",), ("img/b.png",), ("img/a.png",)], "ref string")
-    assert {r["ref"]: r["asset_id"] for r in media.resolve(refs, urls).collect()} == {"http://x/a.png": "1", "img/b.png": "3", "img/a.png": None}
+    refs = spark.createDataFrame([("http://x/a.png",), ("img/b.png?q=1",), ("img/a.png",), ("img/b.png",)], "ref string")
+    assert {r["ref"]: r["asset_id"] for r in media.resolve(refs, urls).collect()} == {"http://x/a.png": "1", "img/b.png?q=1": "3", "img/a.png": None, "img/b.png": None}
     assets = spark.createDataFrame([("abc", "http://x/0123456789abcdefXYZ.png", 1)], "asset_id string, source_url string, ord int")
     figs = spark.createDataFrame([("abc",), ("http://x/0123456789abcdefXYZ.png",), ("0123456789abcdefXYZ.jpg",), ("abc-9",), ("none",)], "ref string")
     assert {r["ref"]: r["asset_id"] for r in binding.resolve_figures(figs, assets).collect()} == {"abc": "abc", "http://x/0123456789abcdefXYZ.png": "abc", "0123456789abcdefXYZ.jpg": "abc", "abc-9": "abc", "none": None}
