@@ -11,7 +11,7 @@ model (n-gram counts; sums by context) is partitioned by ranges of a 64-bit hash
 own distinct keys once, as one packed row, with its counts; the partition adds them up over all blocks and answers
 each block with the totals of just its keys. So a token costs a few bytes of shuffle, frequent words are one key a
 block and make no partition hot, and no table of the model is ever on the driver or broadcast. For the sums, the first block
-that has an n-gram speaks for it: it sends the lower-order probability in whole units of 2**-44 and its class of counts; contexts
+that has an n-gram speaks for it: it sends the lower-order probability in whole units of 2**-40 and its class of counts; contexts
 go by their numbers in the table of the order below. So a context costs a few bytes, and sums do not depend on the order of blocks. Block by block the
 probabilities are then found recursively: the order below first, then the n-gram where it was seen, else alpha times that.
 
@@ -40,9 +40,9 @@ from leafmill.llm.common import SPACE_BYTES, crc_mod, materialize, mix64, shared
 END = np.uint64(0x5F0E1D2C3B4A6978)
 BEGIN = mix64(np.arange(1, 17, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-REQUEST = "p int, block string, keys binary, v0 binary, v1 binary"
+REQUEST = "p int, block string, keys binary, v0 binary, v1 binary, v2 binary"
 ANSWER = "block string, p int, table int, a0 binary, a1 binary, a2 binary, stats array<long>"
-UNIT = 2.0**44  # probabilities of the order below are added up as whole multiples of 1 / UNIT, in any order to the same sum
+UNIT = 2.0**40  # probabilities of the order below are added up as whole multiples of 1 / UNIT, in any order to the same sum
 
 
 def pack(x: np.ndarray) -> bytes:
@@ -161,7 +161,7 @@ def _unpack_matrix(raw: bytes, columns: int) -> np.ndarray:
 
 
 def _requests(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["p", "block", "keys", "v0", "v1"])
+    return pd.DataFrame(rows, columns=["p", "block", "keys", "v0", "v1", "v2"])
 
 
 def _answers(rows: list[tuple]) -> pd.DataFrame:
@@ -193,8 +193,9 @@ def _count_table(requests: DataFrame, table: int, k: int, number: bool) -> DataF
 
 
 def _context_table(requests: DataFrame, table: int, k: int) -> DataFrame:
-    """A partition of contexts (by their numbers) adds up, and answers to each block, the lower-order probability (in units)
-    of the n-grams seen after a context, how many of them have count 1 .. k, and the counts above k together."""
+    """A partition of contexts (by their numbers) adds up, and answers to each block, how many n-grams seen after a context
+    have count 1 .. k, the counts above k together, and, where the block meets an unseen n-gram after it, the lower-order
+    probability (in units) of the seen ones."""
 
     def serve(part: pd.DataFrame) -> pd.DataFrame:
         own = [np.cumsum(unpack(x, "u4"), dtype=np.int64) for x in part["keys"]]
@@ -203,7 +204,8 @@ def _context_table(requests: DataFrame, table: int, k: int) -> DataFrame:
         lower = add(np.concatenate([unpack(x, "i8") for x in part["v0"]]))
         sent = np.concatenate([_unpack_matrix(x, k + 1) for x in part["v1"]])
         kinds = np.stack([add(sent[:, r]) for r in range(k + 1)], axis=1)
-        return _answers([(b, int(part["p"].iloc[0]), table, pack(lower[x]), _pack_matrix(kinds[x]), None, None) for b, x in zip(part["block"], own, strict=True)])
+        asks = [unpack(x, "u1") > 0 for x in part["v2"]]
+        return _answers([(b, int(part["p"].iloc[0]), table, pack(lower[x[m]]), _pack_matrix(kinds[x]), None, None) for b, x, m in zip(part["block"], own, asks, strict=True)])
 
     return requests.groupBy("p").applyInPandas(serve, ANSWER)
 
@@ -250,13 +252,23 @@ def _probabilities(b: Block, model: Model, answers: pd.DataFrame, order: int) ->
         return _unigrams(b, model, _table(answers, 2, "a0", _longs)), *b.distinct(1)
     below, keys, place = _probabilities(b, model, answers, order - 1)
     at = b.contexts(place, len(keys))
-    kinds = _table(answers, 2 * order + 1, "a1", lambda x: _unpack_matrix(x, model.k + 1))
-    alpha, factor, count = _weights(_table(answers, 2 * order + 1, "a0", _longs), kinds, model.d[order])
+    n = len(keys) + 1
     keys, place = b.distinct(order)
     c = _table(answers, 2 * order, "a0", _longs)[place]
+    lower = np.zeros(n, dtype=np.int64)
+    lower[_backing_off(at, c, n)] = _table(answers, 2 * order + 1, "a0", _longs)
+    kinds = _table(answers, 2 * order + 1, "a1", lambda x: _unpack_matrix(x, model.k + 1))
+    alpha, factor, count = _weights(lower, kinds, model.d[order])
     return np.where(c > 0, model.discounted(order, c) * factor[at] / np.maximum(count[at], 1), alpha[at] * below), keys, place
 
 
+def _backing_off(at: np.ndarray, c: np.ndarray, n: int) -> np.ndarray:
+    """Which of n contexts an unseen n-gram (count 0) follows; at: the context of each token."""
+    out = np.zeros(n, dtype=bool)
+    out[at[c == 0]] = True
+    return out
+
+
 def score(docs: DataFrame, train: Column, text: str = "text", order: int = 3, k: int = 5, block_tokens: int = 2_500_000, partition_tokens: int = 1_500_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each row; learns where `train` is true."""
     root = shared_dir(docs.sparkSession)
@@ -301,8 +313,11 @@ def score(docs: DataFrame, train: Column, text: str = "text", order: int = 3, k:
         model.learn(level, np.array([x or 0 for x in answers.filter(F.col("block").isNull()).agg(*sums).first()]))
         return answers.filter(F.col("block").isNotNull())
 
-    def each(answers: DataFrame, work: Callable[[str, Block, pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-        return answers.repartition(dealt, "block").groupBy("block").applyInPandas(lambda part: work(part["block"].iloc[0], _read(root, part["block"].iloc[0]), part), schema)
+    def each(answers: DataFrame, work: Callable[[str, Block, pd.DataFrame], pd.DataFrame], schema: str, level: int = 0) -> DataFrame:
+        """work on each block and the answers to it: those that the sums of `level` need, or the probabilities alone."""
+        table = F.col("table")
+        slim = answers.withColumns({"a1": F.when((table % 2 == 1) | (table == 2 * level), F.col("a1")), "a2": F.when(table == 2 * (level - 1), F.col("a2"))})
+        return slim.repartition(dealt, "block").groupBy("block").applyInPandas(lambda part: work(part["block"].iloc[0], _read(root, part["block"].iloc[0]), part), schema)
 
     def counted(level: int) -> DataFrame:
         def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -311,7 +326,7 @@ def score(docs: DataFrame, train: Column, text: str = "text", order: int = 3, k:
                     b = _read(root, name)
                     keys, place = b.distinct(level)
                     counts = np.bincount(place[b.in_training], minlength=len(keys))  # in training texts
-                    yield _requests([(p, name, pack_keys(keys[s:e]), pack(counts[s:e]), None) for p, s, e in _edges(keys, bits)])
+                    yield _requests([(p, name, pack_keys(keys[s:e]), pack(counts[s:e]), None, None) for p, s, e in _edges(keys, bits)])
 
         return learned(_count_table(cut.mapInPandas(count, REQUEST), 2 * level, k, level < order), level)
 
@@ -324,6 +339,7 @@ def score(docs: DataFrame, train: Column, text: str = "text", order: int = 3, k:
             at = b.contexts(place, len(shorter))
             keys, place = b.distinct(level)
             total = _table(known, 2 * level, "a0", _longs)
+            asks = _backing_off(at, total[place], n).astype(np.uint8)
             where = np.zeros(len(keys), dtype=np.int64)
             where[place] = np.arange(len(place))  # some token that ends each n-gram
             del keys, place
@@ -337,11 +353,11 @@ def score(docs: DataFrame, train: Column, text: str = "text", order: int = 3, k:
             more = total > k
             kinds[:, k] = np.bincount(at[more], weights=total[more], minlength=n)
             own = known[known["table"] == 2 * (level - 1)].sort_values("p")
-            rows = [(p, name, x, pack(lower[s:e]), _pack_matrix(kinds[s:e])) for (p, s, e), x in zip(_edges(shorter, bits), own["a2"], strict=True)]
-            return _requests([*rows, (1 << bits, name, pack(np.zeros(1, dtype=np.uint32)), pack(lower[-1:]), _pack_matrix(kinds[-1:]))])
+            rows = [(p, name, x, pack(lower[s:e]), _pack_matrix(kinds[s:e]), pack(asks[s:e])) for (p, s, e), x in zip(_edges(shorter, bits), own["a2"], strict=True)]
+            return _requests([*rows, (1 << bits, name, pack(np.zeros(1, dtype=np.uint32)), pack(lower[-1:]), _pack_matrix(kinds[-1:]), pack(asks[-1:]))])
 
         answers = answers.unionByName(counted(level))
-        answers = answers.unionByName(materialize(_context_table(each(answers, sums, REQUEST), 2 * level + 1, k)))
+        answers = answers.unionByName(materialize(_context_table(each(answers, sums, REQUEST, level), 2 * level + 1, k)))
 
     def final(_: str, b: Block, known: pd.DataFrame) -> pd.DataFrame:
         p, _, _ = _probabilities(b, model, known, order)
