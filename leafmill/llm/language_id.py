@@ -3,7 +3,8 @@
 Texts become L2-normalised TF-IDF vectors of hashed byte trigrams of their letters. For each language a bounded
 sample of labelled rows is clustered (spherical k-means) into several centroids; a text gets the language of the
 centroid with the highest cosine, and is rejected when that cosine is below the language's limit. The limit lies in
-the middle between the cosines of the language's own rows and those of the other languages, over rows that were not fitted.
+the middle between the least cosines of the language's own rows and the usual ones of the other languages, over rows that were
+not fitted; texts of few trigrams have lower limits, in proportion to the cosine that they can reach.
 
 Bound: at most `sample_per_language` rows (default 400) of each label are fitted and a third as many set the limits,
 taken by a hash of doc_id, so the model has at most languages x `clusters` x `dims` numbers. Everything else covers all rows.
@@ -90,10 +91,21 @@ def _cluster(x: np.ndarray, clusters: int, rounds: int = 24) -> np.ndarray:
     return c
 
 
+def _room(grams: np.ndarray, full: int = 64) -> np.ndarray:
+    """How much of a centroid a text of so many distinct trigrams can meet, at most 1.
+
+    The cosine of g equal weights with a centroid grows as the root of g, so a text of few words is far from every centroid
+    in any language; limits shrink alike below `full` trigrams.
+    """
+    return np.minimum(1.0, np.sqrt(np.maximum(grams, 1) / full))
+
+
 def _limit(inside: np.ndarray, outside: np.ndarray) -> float:
-    """The middle between the cosines that 99 % of the language's own rows and 1 % of the other languages' rows exceed."""
-    low = float(np.quantile(outside, 0.99)) if len(outside) else 0.0
-    return (low + float(np.quantile(inside, 0.01))) / 2 if len(inside) else low
+    """The middle between the cosines that 99 % of the language's own rows and half of the other languages' rows exceed. The other
+    rows' upper part says little, since documents that mix languages make it; where it overlaps, 99 % of the own rows still stay."""
+    low = float(np.quantile(outside, 0.5)) if len(outside) else 0.0
+    own = float(np.quantile(inside, 0.01)) if len(inside) else low
+    return min(own, (low + own) / 2)
 
 
 class Model:
@@ -151,7 +163,8 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang", sample_per_lan
         for part in batches:
             for k in range(0, len(part), 128):
                 rows = part.iloc[k : k + 128]
-                cosine = dense(rows) @ shared.value.T
+                room = _room(np.array([len(at) for at in rows["at"]]))
+                cosine = dense(rows) @ shared.value.T / room[:, None]
                 for name in names:
                     yield pd.DataFrame({"label": name, "inside": (rows["label"] == name).to_numpy(), "cosine": cosine[:, labels == name].max(axis=1)})
 
@@ -174,9 +187,11 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             known = [i for i, t in enumerate(part) if t and m.languages and any(map(str.isalpha, t))]
             for k in range(0, len(known), 128):
                 rows = known[k : k + 128]
-                cosine = _vectors(np.stack([gram_counts(part.iloc[i], dims) for i in rows]), m.idf) @ m.centroids.T
-                for i, at, c in zip(rows, cosine.argmax(axis=1), cosine.max(axis=1), strict=True):
-                    lang[i], score[i], rejected[i] = m.languages[at], min(1.0, max(0.0, float(c))), bool(c < m.limits[at])
+                counts = np.stack([gram_counts(part.iloc[i], dims) for i in rows])
+                cosine = _vectors(counts, m.idf) @ m.centroids.T
+                room = _room((counts > 0).sum(axis=1))
+                for i, at, c, r in zip(rows, cosine.argmax(axis=1), cosine.max(axis=1), room, strict=True):
+                    lang[i], score[i], rejected[i] = m.languages[at], min(1.0, max(0.0, float(c))), bool(c < m.limits[at] * r)
             yield pd.DataFrame({"lang": lang, "score": score, "rejected": rejected})
 
     out = docs.withColumn("_found", nearest.asNondeterministic()(F.col(text)))

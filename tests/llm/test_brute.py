@@ -176,7 +176,7 @@ def identified(text, model):
     norm = math.sqrt(sum(v * v for v in x.values())) or 1.0
     cosines = [sum(v / norm * float(c[g]) for g, v in x.items()) for c in model.centroids]
     at = max(range(len(cosines)), key=lambda i: (cosines[i], -i))
-    return model.languages[at], cosines[at], cosines[at] < model.limits[at]
+    return model.languages[at], cosines[at], cosines[at] < model.limits[at] * min(1, (max(len(x), 1) / 64) ** 0.5)
 
 
 def language_rows(n, seed):

@@ -104,3 +104,11 @@ def test_language_keeps_several_centroids_and_rejects_other_languages(spark, doc
 def test_language_sample_is_bounded(spark, docs_of):
     docs = docs_of([(k, f"some words {k}", "en") for k in range(500)] + [(1, "repeated row", "en")] * 300)
     assert len(language_id.fit(docs, sample_per_language=20, clusters=3, dims=256).languages) <= 3
+
+
+def test_rejection_limits_keep_own_rows_and_shrink_for_short_texts():
+    own, other = np.linspace(0.5, 0.9, 101), np.linspace(0.1, 0.3, 101)
+    assert abs(language_id._limit(own, other) - (0.504 + 0.2) / 2) < 1e-9
+    assert language_id._limit(own, own + 0.3) <= np.quantile(own, 0.01)
+    assert language_id._limit(own[:0], other[:0]) == 0 and language_id._limit(own, other[:0]) < 0.504
+    assert list(language_id._room(np.array([0, 16, 64, 500]))) == [0.125, 0.5, 1, 1]
