@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 IMAGE = r"!\[([^\]]*)\]\([^)]+\)"
 STRUCTURE_MARKS = "[*_~]+"
+# An image in Markdown (its target in angle brackets or plain, with or without a title), and format marks.
+MARKDOWN_IMAGE = r"""!\[[^\]]*\]\(\s*(?:<([^>]+)>|([^\s)]+))(?:\s+['"][^'"]*['"])?\s*\)"""
+FORMAT_MARKS = r"[`*_~>#\[\]()]"
 
 
 def strip(x: Column) -> Column:
@@ -44,8 +47,8 @@ def first_sentence(x: Column, limit: int = 40) -> Column:
 
 def text_chars(markdown: Column) -> Column:
     """Number of characters that are text: no images, link targets, format marks or white space."""
-    out = F.regexp_replace(F.regexp_replace(markdown, IMAGE, ""), r"\[([^\]]*)\]\([^)]*\)", "$1")
-    return F.length(F.regexp_replace(out, r"(?U)[#*_`>|~\-\s]+", ""))
+    out = F.regexp_replace(F.regexp_replace(markdown, "(?U)" + MARKDOWN_IMAGE, ""), r"\[([^\]]+)\]\([^)]+\)", "$1")
+    return F.length(F.regexp_replace(F.regexp_replace(out, FORMAT_MARKS, ""), r"(?U)\s+", ""))
 
 
 def without_image_markers(x: Column) -> Column:
@@ -64,8 +67,9 @@ def url_path(x: Column) -> Column:
 
 
 def image_identity(x: Column) -> Column:
-    """(path, stem) of an image target."""
-    path = F.regexp_replace(F.translate(x, "\\", "/"), "^[./]+", "")
+    """(path, stem) of an image target, without angle brackets, query and fragment."""
+    bare = F.get(F.split(F.regexp_replace(strip(x), "^[<>]+|[<>]+$", ""), "[?#]", 2), 0)
+    path = F.regexp_replace(F.translate(bare, "\\", "/"), "^[./]+", "")
     return F.struct(path.alias("path"), F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\.[^.]*$", "").alias("stem"))
 
 

@@ -19,44 +19,56 @@ ALWAYS = {"heading", "paragraph", "other"}
 BOUND = "doc_id long, item_id string, block_id string, n int, page_index int"
 
 
-def greedy_binding(items: DataFrame, blocks: DataFrame, max_blocks: int = 6) -> DataFrame:
+def greedy_binding(items: DataFrame, blocks: DataFrame, max_blocks: int = 6, synthetic: DataFrame | None = None) -> DataFrame:
     """doc_id, item_id, block_id, n, page_index.
 
-    items: doc_id, item_seq, item_id, item_type, title, tokens, chapter. blocks: doc_id, chapter, page_index, block_order,
-    block_id, type, text, tokens, has_image, attached_to (a block id or null). The cursor over the blocks moves forward
-    only on success; a used block is not used again; figures attached to a block go to the item that holds it. The
-    match of an item depends on all before it, so a document is one sequential task (of its own items and blocks).
+    items: doc_id, item_seq, item_id, item_type, title, tokens, chapter and, where given, text (its first sentence is the head that a
+    block may hold, else the title). blocks: doc_id, chapter, page_index, block_order, block_id, type, text, tokens, has_image,
+    attached_to (a block id or null). The cursor over the blocks moves forward only on success; a used block is not used again;
+    figures attached to a block go to the item that holds it.
+
+    synthetic: those of `synthetic_blocks`. An item that holds some, or lies in one, takes the best of them and uses up all; figures
+    attached to any of them follow without a limit, and the cursor stays. The match of an item depends on all before it, so a
+    document is one sequential task (of its own items and blocks).
     """
 
     def bind(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         rows, used, cursor = [], set(), 0
         left = left.sort_values("item_seq")
-        order = right.sort_values(["chapter", "page_index", "block_order"], na_position="first").to_dict("records")
+        free = right[right["made"]].sort_values(["block_order", "block_id"]).to_dict("records")
+        order = right[~right["made"]].sort_values(["chapter", "page_index", "block_order"], na_position="first").to_dict("records")
         attached = {}
         for b in order:
-            if b["attached_to"]:
+            if b["attached_to"] and b["type"] == "figure":
                 attached.setdefault(b["attached_to"], []).append(b)
         for it in left.to_dict("records"):
-            words, head = set(it["tokens"] if it["tokens"] is not None else ()), (it["title"] or "")[:10]
-            fits = lambda b: not b["chapter"] or b["chapter"] == it["chapter"]  # noqa: B023, E731
-            found = None
-            for at in range(cursor, len(order)):
-                b = order[at]
-                if b["block_id"] in used or not fits(b) or (b["type"] == "figure" and b["attached_to"]):
+            words, head = _set(it["tokens"]), (it["head"] or "")[:10]
+            fits = lambda b: not b["chapter"] or b["chapter"] == (it["chapter"] or "")  # noqa: B023, E731
+            own = _contained(it, free, fits)
+            if own:
+                taken = {b["block_id"] for b in own}
+                free = [b for b in free if b["block_id"] not in taken]
+                held, targets, room = [own[0]], sorted(own, key=lambda b: b["block_order"]), len(order) + 1
+            else:
+                found = None
+                for at in range(cursor, len(order)):
+                    b = order[at]
+                    if b["block_id"] in used or not fits(b) or (b["type"] == "figure" and b["attached_to"]):
+                        continue
+                    if b["type"] in EXPECTED.get(it["item_type"], ()) or b["type"] in ALWAYS or words & _set(b["tokens"]) or (head and head in (b["text"] or "")) or (b["type"] == "figure" and b["has_image"]):
+                        found = at
+                        break
+                if found is None:
                     continue
-                if b["type"] in EXPECTED.get(it["item_type"], ()) or b["type"] in ALWAYS or words & set(b["tokens"] if b["tokens"] is not None else ()) or (head and head in (b["text"] or "")) or (b["type"] == "figure" and b["has_image"]):
-                    found = at
-                    break
-            if found is None:
-                continue
-            held = [order[found]]
-            used.add(order[found]["block_id"])
-            cursor = found + 1
-            for b in sorted(attached.get(order[found]["block_id"], []), key=lambda b: b["block_id"]):
-                if b["block_id"] not in used and len(held) < max_blocks:
-                    held.append(b)
-                    used.add(b["block_id"])
-            while cursor < len(order) and len(held) < max_blocks:
+                held, targets, room = [order[found]], [order[found]], max_blocks
+                used.add(order[found]["block_id"])
+                cursor = found + 1
+            for target in targets:
+                for b in sorted(attached.get(target["block_id"], []), key=lambda b: b["block_id"]):
+                    if b["block_id"] not in used and len(held) < room:
+                        held.append(b)
+                        used.add(b["block_id"])
+            while not own and cursor < len(order) and len(held) < max_blocks:
                 b = order[cursor]
                 if b["block_id"] in used:
                     cursor += 1
@@ -69,7 +81,28 @@ def greedy_binding(items: DataFrame, blocks: DataFrame, max_blocks: int = 6) ->
             rows += [(it["doc_id"], it["item_id"], b["block_id"], n, b["page_index"]) for n, b in enumerate(held)]
         return pd.DataFrame(rows, columns=["doc_id", "item_id", "block_id", "n", "page_index"])
 
-    return items.groupBy("doc_id").cogroup(blocks.groupBy("doc_id")).applyInPandas(bind, BOUND)
+    body = F.col("text") if "text" in items.columns else F.col("title")
+    norm = T.structure_normalized(F.coalesce(body, F.lit(""))) if synthetic is not None else F.lit("")
+    head = T.first_sentence(F.coalesce(body, F.lit(""))) if "text" in items.columns else F.col("title")
+    left = items.select(F.col("doc_id").alias("doc_id"), "item_seq", "item_id", "item_type", head.alias("head"), "tokens", "chapter", norm.alias("norm"))
+    names = ["doc_id", "chapter", "page_index", "block_order", "block_id", "type", "text", "tokens", "has_image", "attached_to"]
+    right = blocks.select(*names, F.lit("").alias("norm"), F.lit(False).alias("made"))
+    if synthetic is not None:
+        said = F.coalesce("text", F.lit(""))
+        made = synthetic.select("doc_id", F.coalesce(F.get("chapter_path", 0), F.lit("")).alias("chapter"), "page_index", F.col("line").alias("block_order"), "block_id", "type", "text", T.tokens(said).alias("tokens"), F.lit(False).alias("has_image"), F.lit(None).cast("string").alias("attached_to"), T.structure_normalized(said).alias("norm"), F.lit(True).alias("made"))
+        right = right.unionByName(made)
+    return left.groupBy("doc_id").cogroup(right.groupBy("doc_id")).applyInPandas(bind, BOUND)
+
+
+def _set(words) -> set:
+    return set() if words is None else set(words)
+
+
+def _contained(it: dict, free: list[dict], fits) -> list[dict]:
+    """The free blocks that hold the item's text or lie in it: by the shorter text, shared tokens, then the earlier line."""
+    words = _set(it["tokens"])
+    met = [b for b in free if it["norm"] and b["norm"] and fits(b) and (b["norm"] in it["norm"] or it["norm"] in b["norm"])]
+    return sorted(met, key=lambda b: (min(len(b["norm"]), len(it["norm"])), len(words & _set(b["tokens"])), -b["block_order"]), reverse=True)
 
 
 def synthetic_blocks(blocks: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leafmill.tables import replace
+
 
 def _histogram(rows: DataFrame, keys: list[str], name: str, out: str) -> DataFrame:
     """keys and a map from name to its number of rows, by one count a name."""
@@ -88,3 +90,11 @@ def saved_queue(path: str, figures: DataFrame, log: DataFrame, force: bool = Fal
     figures.write.mode("overwrite").json(f"{path}/figures")
     if force:
         log.limit(0).write.mode("overwrite").json(f"{path}/decisions")
+
+
+def write_plans(made: dict[str, DataFrame], folder: str) -> None:
+    """Write what `planning.plan` made: plans and the pruning report always, the report of plans left out where there are any."""
+    replace(made["plans"], f"{folder}/plans")
+    replace(made["pruning"].filter("pruned"), f"{folder}/topic_pruning")
+    if not made["superseded"].isEmpty():
+        replace(made["superseded"], f"{folder}/plan_deduplication")

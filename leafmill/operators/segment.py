@@ -20,6 +20,8 @@ MARKERS = {
     "考点": "knowledge_point", "知识点": "knowledge_point",
 }
 HEADING = r"(?U)^(#{1,4})\s+(.*)$"
+MARKDOWN_HEADING = r"(?U)^(#{1,6})\s+(.*)$"
+LISTED = r"(?U)^(?:[-*+•]\s+|\d+[.)、]\s*|[一二三四五六七八九十]+、)"
 MARKER = r"(?U)^\*\*\s*(" + "|".join(sorted(MARKERS, key=len, reverse=True)) + r")\b"
 
 
@@ -72,6 +74,29 @@ def text_blocks(docs: DataFrame, text: str = "text") -> DataFrame:
     return blocks.select("doc_id", number.alias("block_no"), "first_line", "last_line", F.when(listed, "list").otherwise("paragraph").alias("kind"), "body")
 
 
+def markdown_blocks(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(blocks, images) of Markdown, lines counted from 1; a null text has neither.
+
+    blocks: doc_id, block_id, block_type (heading, list or paragraph), text, heading_level, first_line, last_line. Blank lines and
+    headings end a block; image markers are no text, and a line that holds nothing else neither adds to a block nor ends it.
+    images: doc_id, line_no, k (from 0 in its line), target, of all lines but headings.
+    """
+    rows = lines(docs.filter(F.col(text).isNotNull()), text).withColumn("line_no", F.col("line_no") + 1)
+    level = F.length(F.regexp_extract("line", MARKDOWN_HEADING, 1))
+    image = "(?U)" + T.MARKDOWN_IMAGE
+    rows = rows.withColumns({"level": level, "bare": F.when(level > 0, T.strip(F.regexp_extract("line", MARKDOWN_HEADING, 2))).otherwise(T.strip(F.regexp_replace("line", image, "")))})
+    found = rows.filter("level = 0").select("doc_id", "line_no", F.posexplode(F.regexp_extract_all("line", F.lit(image), F.lit(0))).alias("k", "mark"))
+    target = F.coalesce(F.nullif(F.regexp_extract("mark", image, 1), F.lit("")), F.regexp_extract("mark", image, 2))
+    w = W.partitionBy("doc_id").orderBy("line_no").rowsBetween(W.unboundedPreceding, W.currentRow)
+    rows = rows.withColumn("gap", F.sum(((F.col("level") > 0) | (F.col("line") == "")).cast("int")).over(w)).filter("bare <> ''")
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "bare"))), lambda x: x["bare"]), "\n")
+    made = rows.groupBy("doc_id", "gap", "level").agg(F.min("line_no").alias("first_line"), F.max("line_no").alias("last_line"), body.alias("text"))
+    number = F.row_number().over(W.partitionBy("doc_id").orderBy("first_line"))
+    kind = F.when(F.col("level") > 0, "heading").when(F.col("text").rlike(LISTED), "list").otherwise("paragraph")
+    blocks = made.select("doc_id", F.format_string("md-b%06d", number).alias("block_id"), kind.alias("block_type"), "text", F.when(F.col("level") > 0, F.col("level")).alias("heading_level"), "first_line", "last_line")
+    return blocks, found.select("doc_id", "line_no", "k", target.alias("target"))
+
+
 def carry_forward(blocks: DataFrame, key: str, order: list[str], level: str = "level", text: str = "text") -> DataFrame:
     """blocks with chapter and section: the latest heading of level 1, and of level 2 since that."""
     w = W.partitionBy(key).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)

@@ -11,6 +11,8 @@ from pyspark.sql.window import Window as W
 
 from leafmill.functions import boxes
 from leafmill.functions import text as T
+from leafmill.operators import segment
+from leafmill.tables import materialize
 
 # Block types.
 TEXT_TYPES = ("paragraph", "text", "list", "list_item", "other")
@@ -117,12 +119,12 @@ def paired_images(markdown: DataFrame, layout: DataFrame) -> DataFrame:
 def paired_images_or_stems(markdown: DataFrame, layout: DataFrame) -> DataFrame:
     """doc_id, line_no, block_id: Markdown images in turn with the first unused visual of their path, else of their stem.
 
-    markdown: doc_id, target, line_no. layout: doc_id, path, asset_id, block_id, page_index, block_order. Both passes share
+    markdown: doc_id, target, line_no and, where a line holds several, k. layout: doc_id, path, asset_id, block_id, page_index, block_order. Both passes share
     what is used, so a document is one task of its own images.
     """
     import pandas as pd
 
-    names = lambda df, target: df.withColumns({"_p": T.image_identity(F.col(target))["path"], "_s": T.image_identity(F.col(target))["stem"]})
+    names = lambda df, target: df.withColumns({"doc_id": F.col("doc_id").alias("doc_id"), "_p": T.image_identity(F.col(target))["path"], "_s": T.image_identity(F.col(target))["stem"]})
 
     def pair(_: tuple, images: pd.DataFrame, visuals: pd.DataFrame) -> pd.DataFrame:
         waiting: dict[tuple[str, str], list[str]] = {}
@@ -131,7 +133,7 @@ def paired_images_or_stems(markdown: DataFrame, layout: DataFrame) -> DataFrame:
                 if name[1]:
                     waiting.setdefault(name, []).append(v["block_id"])
         used, rows = set(), []
-        for m in images.sort_values("line_no").to_dict("records"):
+        for m in images.sort_values(["line_no", "k"]).to_dict("records"):
             for name in (("path", m["_p"]), ("stem", m["_s"])):
                 queue = waiting.get(name, [])
                 while queue and queue[-1] in used:
@@ -143,7 +145,8 @@ def paired_images_or_stems(markdown: DataFrame, layout: DataFrame) -> DataFrame:
         return pd.DataFrame(rows, columns=["doc_id", "line_no", "block_id"])
 
     kind = markdown.schema["doc_id"].dataType.simpleString()
-    left, right = names(markdown.select("doc_id", "target", "line_no"), "target"), names(layout.select("doc_id", F.coalesce("path", F.lit("")).alias("path"), "asset_id", "block_id", "page_index", "block_order"), "path")
+    place = F.col("k") if "k" in markdown.columns else F.lit(0).alias("k")
+    left, right = names(markdown.select("doc_id", "target", "line_no", place), "target"), names(layout.select("doc_id", F.coalesce("path", F.lit("")).alias("path"), "asset_id", "block_id", "page_index", "block_order"), "path")
     return left.groupBy("doc_id").cogroup(right.groupBy("doc_id")).applyInPandas(pair, f"doc_id {kind}, line_no int, block_id string")
 
 
@@ -190,3 +193,83 @@ def alignment_status(facts: DataFrame) -> DataFrame:
     share = F.when(F.col("layout_blocks") > 0, F.col("layout_text_blocks") / F.col("layout_blocks")).otherwise(0.0)
     status = F.when(F.col("markdown_chars").isNull(), "missing_markdown").when((F.col("markdown_chars") < 200) | (coverage >= 0.20) | (share >= 0.10), "not_needed").when(F.col("matched") == 0, "unavailable_no_image_matches").otherwise("active")
     return facts.withColumns({"coverage": coverage, "share": share, "status": status})
+
+
+# Why a text is aligned, or is not.
+ALIGNMENT_REASONS = {
+    "missing_markdown": "normalized Markdown is unavailable",
+    "short": "Markdown text is below the fallback minimum",
+    "covered": "layout text coverage is sufficient",
+    "structured": "layout contains enough structured text blocks",
+    "unavailable_no_image_matches": "fallback required but no Markdown image matched layout",
+    "active": "layout text coverage and text-block share require fallback",
+}
+
+
+def locate_blocks(blocks: DataFrame, anchors: DataFrame) -> DataFrame:
+    """blocks (doc_id, block_id, first_line, last_line) with anchor_block_id, page_index, page_number, location_confidence of the anchor
+    whose line is nearest to the block's lines; ties: one that is not before the last line, then the lower line, then the id.
+
+    anchors: doc_id, line_no, block_id, page_index, page_number. The nearest is one of three: the last before the block, the first from
+    its first line on and the first from its last line on; running windows find them, with no pairs.
+    """
+    marks = anchors.groupBy("doc_id", F.col("line_no").alias("at")).agg(F.min(F.struct("block_id", "page_index", "page_number")).alias("a"))
+    mark = F.struct(F.col("at").alias("line"), F.col("a"))
+    none = F.lit(None)
+    asks = blocks.select("doc_id", "block_id", "first_line", "last_line", F.explode(F.array("first_line", "last_line")).alias("at")).distinct()
+    rows = asks.withColumn("m", none.cast(marks.select(mark.alias("m")).schema["m"].dataType))
+    told = marks.select("doc_id", none.cast("string").alias("block_id"), none.cast("int").alias("first_line"), none.cast("int").alias("last_line"), "at", mark.alias("m"))
+    w = W.partitionBy("doc_id").orderBy("at")
+    seen = rows.unionByName(told).withColumns({"p": F.max("m").over(w.rangeBetween(W.unboundedPreceding, -1)), "n": F.min("m").over(w.rangeBetween(W.currentRow, W.unboundedFollowing))}).filter(F.col("block_id").isNotNull())
+    far = lambda line: F.greatest(F.lit(0), line - F.col("last_line"), F.col("first_line") - line)
+    way = lambda c: F.when(F.col(c).isNotNull(), F.struct(far(F.col(c)["line"]).alias("dist"), (F.col(c)["line"] < F.col("last_line")).cast("int").alias("behind"), F.col(c)["line"].alias("line"), F.col(c)["a"].alias("a")))
+    best = seen.groupBy("doc_id", "block_id").agg(F.min(F.least(way("p"), way("n"))).alias("b")).filter(F.col("b").isNotNull())
+    found = best.select("doc_id", "block_id", F.col("b.a.block_id").alias("anchor_block_id"), "b.a.page_index", "b.a.page_number", F.when(F.col("b.dist") <= 2, 0.90).otherwise(0.65).alias("location_confidence"))
+    return blocks.join(found, ["doc_id", "block_id"])
+
+
+def align(docs: DataFrame, layout: DataFrame, visuals: DataFrame) -> dict[str, DataFrame]:
+    """Markdown text put beside a layout that has too little text of its own: summary, blocks, relations.
+
+    docs: doc_id (unique), text (null: no Markdown). layout: doc_id, layout_chars, layout_text_blocks. visuals: doc_id, ord, block_id,
+    page_index, page_number, path, asset_id. summary has a row a document; blocks and relations those of active ones. Documents that do
+    not call for it are left out before images are matched.
+    """
+    blocks, images = segment.markdown_blocks(docs)
+    each = docs.select("doc_id", T.text_chars(F.col("text")).alias("markdown_chars")).join(layout, "doc_id", "left")
+    each = each.join(images.groupBy("doc_id").agg(F.count(F.lit(1)).alias("markdown_images")), "doc_id", "left")
+    each = each.join(visuals.groupBy("doc_id").agg(F.count(F.lit(1)).alias("layout_images")), "doc_id", "left")
+    each = each.fillna(0, ["layout_chars", "layout_text_blocks", "markdown_images", "layout_images"]).withColumn("layout_blocks", F.col("layout_text_blocks") + F.col("layout_images"))
+    asks = materialize(alignment_status(each.withColumn("matched", F.lit(1))).filter("status = 'active'").select("doc_id"))
+    placed = visuals.select("doc_id", "block_id", "page_index", "page_number", "path", "asset_id", F.col("ord").alias("block_order")).join(asks, "doc_id", "left_semi")
+    met = paired_images_or_stems(images.join(asks, "doc_id", "left_semi"), placed.withColumn("page_index", F.lit(0)))
+    met = materialize(met.join(placed.select("doc_id", "block_id", "page_index", "page_number"), ["doc_id", "block_id"]))
+    counted = each.join(met.groupBy("doc_id").agg(F.count(F.lit(1)).alias("matched")), "doc_id", "left").fillna(0, ["matched"])
+    summary = alignment_status(counted)
+    live, open_ = F.col("status") == "active", F.col("status").isin("active", "unavailable_no_image_matches")
+    reason = F.when(F.col("status") != "not_needed", F.col("status")).when(F.col("markdown_chars") < 200, "short").when(F.col("coverage") >= 0.20, "covered").otherwise("structured")
+    told = F.create_map(*[F.lit(x) for pair in ALIGNMENT_REASONS.items() for x in pair])
+    parts = met.select("doc_id").distinct()
+    used = blocks.join(parts, "doc_id", "left_semi")
+    summary = summary.join(used.groupBy("doc_id").agg(F.count(F.lit(1)).alias("synthetic_blocks")), "doc_id", "left").fillna(0, ["synthetic_blocks"])
+    summary = summary.withColumns({"reason": told[reason], "coverage": F.when(F.col("status") == "missing_markdown", 0.0).otherwise(F.col("coverage")), "markdown_chars": F.coalesce("markdown_chars", F.lit(0)), "markdown_only": F.when(open_, F.col("markdown_images") - F.col("matched")).otherwise(0), "layout_only": F.when(open_, F.col("layout_images") - F.col("matched")).otherwise(0), "synthetic_blocks": F.when(live, F.col("synthetic_blocks")).otherwise(0)})
+    warn = lambda name, n: F.when(F.col(n) > 0, F.concat(F.lit(f"unmatched_{name}_images:"), F.col(n).cast("string")))
+    summary = summary.withColumn("warnings", F.array_compact(F.array(warn("markdown", "markdown_only"), warn("layout", "layout_only"))))
+    tree = used.select("doc_id", F.lit(0).alias("page_index"), F.col("first_line").alias("block_order"), "block_id", F.col("block_type").alias("type"), F.col("heading_level").alias("level"), "text")
+    up = _edges(heading_parents(tree).filter(F.col("parent_id").isNotNull()), "parent_heading", "block_id", "parent_id", F.lit(1.0), "markdown_heading_level", F.lit("confirmed"))
+    marks = met.select("doc_id", "line_no", F.col("block_id").alias("visual_id"))
+    to = image_anchors(marks.select("doc_id", "line_no"), used.select("doc_id", "block_id", F.col("block_type").alias("type"), "first_line", "last_line")).join(marks, ["doc_id", "line_no"])
+    tied = _edges(to, "attached_to", "visual_id", "target_id", F.lit(0.85), "markdown_image_anchor", F.lit("suggested"))
+    return {"summary": summary, "blocks": locate_blocks(used, met), "relations": up.unionByName(tied)}
+
+
+def checked_sidecar(edges: DataFrame) -> DataFrame:
+    """edges (doc_id, kind, source_id, target_id), which fail the query where an attachment lacks an id."""
+    bad = (F.col("kind") == "attached_to") & (F.col("source_id").isNull() | F.col("target_id").isNull())
+    return edges.withColumn("kind", F.when(bad, F.raise_error(F.concat(F.lit("attached_to relation without block ids in document "), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))).otherwise(F.col("kind")))
+
+
+def attachments_by_target(edges: DataFrame) -> DataFrame:
+    """doc_id, target_id, sources: the distinct blocks attached to each block, sorted."""
+    rows = checked_sidecar(edges).filter("kind = 'attached_to'")
+    return rows.groupBy("doc_id", "target_id").agg(F.array_sort(F.collect_set("source_id")).alias("sources"))

@@ -52,3 +52,14 @@ def discard(*tables: DataFrame) -> None:
             jvm, sc = df.sparkSession._jvm, df.sparkSession.sparkContext
             at = jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def replace(df: DataFrame, path: str, form: str = "json") -> None:
+    """Write df beside path and move it there when it is whole, so that a failed write leaves the old table; that one goes just before the move."""
+    spark, beside = df.sparkSession, f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    df.write.format(form).save(beside)
+    made, at = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (beside, path))
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(at, True)
+    if not fs.rename(made, at):
+        raise OSError(f"cannot move {beside} to {path}")

@@ -4,7 +4,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from leafmill.plans import catalogue, catalogue_more, catalogue_reports  # noqa: F401  the other modules add to the first
+from leafmill.plans import catalogue, catalogue_models, catalogue_more, catalogue_reports  # noqa: F401  the other modules add to the first
 
 DATA = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not DATA.is_dir(), reason="no test tables")
