@@ -8,6 +8,7 @@ from pyspark.sql.window import Window as W
 
 from leafmill.functions import text as T
 from leafmill.operators.graph import components
+from leafmill.tables import materialize
 
 
 def dedup_by_digest(assets: DataFrame, content: Column, key: str) -> DataFrame:
@@ -66,18 +67,25 @@ def rewrite_references(docs: DataFrame, urls: DataFrame, files: DataFrame, text:
     return docs.join(folded, "doc_id", "left").withColumn(text, F.when(F.col("_marks").isNull(), F.col(text)).otherwise(whole)).drop("_marks")
 
 
-def holding(docs: DataFrame, phrases: DataFrame, text: str, phrase: str, width: int = 12) -> DataFrame:
-    """docs joined to the phrases that their text holds: both sides meet in an equal piece of the text, then the text is searched.
+def holding(docs: DataFrame, phrases: DataFrame, text: str, phrase: str, width: int = 32) -> DataFrame:
+    """docs joined to the phrases that their text holds: both sides meet in an equal piece, then the text is searched.
 
-    A phrase is found where its first `width` characters are; shorter phrases are met by pieces of their own length. The
-    pieces of a text that occur in no phrase never leave its row.
+    A text is cut once into pieces of w characters, end to end; wherever a phrase of 2w - 1 characters or more lies, one whole
+    piece is among those that begin at its first w characters. w is the greatest power of two up to `width` that a phrase
+    allows, so there are a few sizes at most. Only hashes of pieces meet, and what meets is written once: texts are not
+    shuffled for it. An empty phrase is in every text.
     """
-    sizes = sorted(r["n"] for r in phrases.select(F.least(F.length(phrase), F.lit(width)).alias("n")).distinct().collect() if r["n"])  # at most `width`
-    keyed = phrases.withColumn("_piece", F.substring(F.col(phrase), F.lit(1), F.least(F.length(phrase), F.lit(width))))
-    cut = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text) - n + 1)), lambda i: F.substring(F.col(text), i, F.lit(n)))
-    pieces = F.array_distinct(F.flatten(F.array(*map(cut, sizes)))) if sizes else F.array().cast("array<string>")
-    met = docs.withColumn("_piece", F.explode(pieces)).join(keyed, "_piece")
-    return met.filter(F.contains(F.col(text), F.col(phrase))).drop("_piece")
+    size = F.greatest(*[F.when(F.length(phrase) >= 2 * w - 1, w).otherwise(1) for w in (1 << k for k in range(width.bit_length()))])
+    keyed = phrases.filter(F.length(phrase) > 0).select(F.col(phrase).alias("_whole"), size.alias("_w")).distinct()
+    sizes = [r["_w"] for r in keyed.select("_w").distinct().collect()]  # powers of two up to `width`
+    begins = F.sequence(F.lit(1), F.least("_w", F.length("_whole") - F.col("_w") + 1))
+    asked = keyed.select(F.xxhash64("_whole").alias("_p"), F.explode(F.array_distinct(F.transform(begins, lambda i: F.xxhash64(F.substring(F.col("_whole"), i, F.col("_w")))))).alias("_piece"))
+    cut = [F.transform(F.regexp_extract_all(text, F.lit(f"(?s).{{{w}}}"), F.lit(0)), lambda x: F.xxhash64(x)) for w in sizes]
+    pieces = F.array_distinct(F.concat(*cut)) if sizes else F.array().cast("array<bigint>")
+    held = docs.select(F.xxhash64(text).alias("_t"), F.explode(pieces).alias("_piece"))
+    met = materialize(held.join(asked, "_piece").select("_t", "_p").distinct())
+    out = docs.withColumn("_t", F.xxhash64(text)).join(met, "_t").join(phrases.withColumn("_p", F.xxhash64(phrase)), "_p").drop("_t", "_p")
+    return out.filter(F.contains(F.col(text), F.col(phrase))).unionByName(docs.filter(F.col(text).isNotNull()).crossJoin(phrases.filter(F.length(phrase) == 0)))
 
 
 def sign_bits(vector: Column) -> Column:

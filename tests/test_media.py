@@ -29,3 +29,16 @@ def test_nearest_references_equal_brute_force(spark):
     want = {(r, i, d, n + 1) for r, b in refs for n, (d, i) in enumerate(sorted((far(x, b), i) for i, x in hashes if far(x, b) <= 18)[:5])}
     got = media.nearest_references(spark.createDataFrame(hashes, "id int, bits array<long>"), spark.createDataFrame(refs, "ref_id string, ref_bits array<long>"), top=5)
     assert {tuple(r) for r in got.collect()} == want and len(want) == 15
+
+
+def test_holding_equals_brute_force(spark):
+    random.seed(5)
+    word = lambda n: "".join(random.choice("aé\n😀") for _ in range(n))
+    texts = [(k, word(n)) for k, n in enumerate([0, 1, 2, 3, 5, 40, 90, 90, 300, 700])] + [(10, None), (8, "a" * 70)]
+    cut = lambda t, n: t[(i := random.randrange(len(t) - n + 1)) : i + n]
+    phrases = [(100 + n, cut(texts[9][1], n)) for n in (1, 2, 3, 4, 6, 7, 31, 62, 63, 64, 100, 500, 700)] + [(900, "a" * 63), (901, "a" * 63), (902, texts[5][1]), (903, "a" * 71), (904, None), (905, "")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    met = media.holding(docs, spark.createDataFrame(phrases, "item_id long, phrase string"), "text", "phrase")
+    got = sorted((r["doc_id"], r["item_id"], r["text"], r["phrase"]) for r in met.collect())
+    assert got == sorted((d, i, t, p) for d, t in texts for i, p in phrases if t is not None and p is not None and p in t)
+    assert (8, 905, "a" * 70, "") in got
