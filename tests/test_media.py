@@ -1,4 +1,5 @@
 import random
+import time
 
 from leafmill.operators import media
 
@@ -42,3 +43,11 @@ def test_holding_equals_brute_force(spark):
     got = sorted((r["doc_id"], r["item_id"], r["text"], r["phrase"]) for r in met.collect())
     assert got == sorted((d, i, t, p) for d, t in texts for i, p in phrases if t is not None and p is not None and p in t)
     assert (8, 905, "a" * 70, "") in got
+
+
+def test_holding_takes_linear_time_in_a_text(spark):
+    docs = spark.range(1).selectExpr("id AS doc_id", "concat(repeat('some words é of no phrase at all ', 60000), 'the phrase that is looked for') AS text")
+    phrases = spark.createDataFrame([(1, "the phrase that is looked for"), (2, "the phrase that is looked at")], "item_id long, phrase string")
+    start = time.monotonic()
+    assert [r["item_id"] for r in media.holding(docs, phrases, "text", "phrase").collect()] == [1]
+    assert time.monotonic() - start < 60
