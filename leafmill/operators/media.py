@@ -157,10 +157,14 @@ def clusters(nodes: DataFrame, key: str, pairs: DataFrame) -> DataFrame:
 
 
 def visually_equal(members: DataFrame, max_ratio: float = 5.0, min_side: float = 0.5) -> DataFrame:
-    """cluster, members, representative, equal: sizes within a ratio and sides alike; members has cluster, id, bytes, width, height."""
-    side = F.least("width", "height") / F.greatest("width", "height")
-    g = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"), F.max_by("id", F.struct("bytes", F.col("width") * F.col("height"), -F.col("id"))).alias("representative"), (F.max("bytes") / F.min("bytes")).alias("ratio"), F.min(side).alias("side"))
-    return g.select("cluster", "members", "representative", ((F.col("members") >= 2) & (F.col("ratio") < max_ratio) & (F.col("side") > min_side)).alias("equal"))
+    """cluster, members, representative, equal: sizes within a ratio and sides alike; members has cluster, id, bytes, width, height.
+
+    A cluster with a member of no bytes is not equal, nor is one with a member of no width and height.
+    """
+    long = F.greatest("width", "height")
+    side = F.when(long == 0, 0.0).otherwise(F.try_divide(F.least("width", "height"), long))
+    g = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"), F.max_by("id", F.struct("bytes", F.col("width").cast("long") * F.col("height"), -F.col("id"))).alias("representative"), F.try_divide(F.max("bytes"), F.min("bytes")).alias("ratio"), F.min(side).alias("side"))
+    return g.select("cluster", "members", "representative", ((F.col("members") >= 2) & F.coalesce(F.col("ratio") < max_ratio, F.lit(False)) & (F.col("side") > min_side)).alias("equal"))
 
 
 def nearest_references(hashes: DataFrame, references: DataFrame, limit: int = 18, top: int = 20, words: int = 4) -> DataFrame:

@@ -299,7 +299,7 @@ def role_effective(spark, d):
 @query("WITH l AS (SELECT doc_id, sum(length(x)) AS bytes, max(length(x)) AS width, count(*) AS height FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x FROM documents) GROUP BY 1), c AS (SELECT doc_id % 50 AS cluster, * FROM l), g AS (SELECT cluster, count(*) AS members, max(bytes) / min(bytes) AS ratio, min(least(width, height) / greatest(width, height)) AS side FROM c GROUP BY 1) SELECT cluster, members, arg_max(doc_id, (bytes, width * height, -doc_id)) AS representative, bool_and(members >= 2 AND ratio < 5 AND side > 0.5) AS equal FROM c JOIN g USING (cluster) GROUP BY 1, 2".replace("SELECT cluster, members, arg_max", "SELECT cluster, members, arg_max"))
 def cluster_representative(spark, d):
     x = F.split("text", "\n")
-    rows = table(spark, d, "documents").select("doc_id", F.aggregate(x, F.lit(0), lambda s, v: s + F.length(v)).alias("bytes"), F.array_max(F.transform(x, lambda v: F.length(v))).alias("width"), F.size(x).alias("height"))
+    rows = table(spark, d, "documents").filter("text IS NOT NULL").select("doc_id", F.aggregate(x, F.lit(0), lambda s, v: s + F.length(v)).alias("bytes"), F.array_max(F.transform(x, lambda v: F.length(v))).alias("width"), F.size(x).alias("height"))
     rows = rows.select((F.col("doc_id") % 50).alias("cluster"), F.col("doc_id").alias("id"), "bytes", "width", "height")
     return media.visually_equal(rows)
 
