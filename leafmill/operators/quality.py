@@ -58,12 +58,13 @@ def first_approved(rules: list[tuple[str, Column]], approved: Sequence[str]) ->
 
 
 def image_rules(context: Column, width: Column, height: Column, phrases: Sequence[str], min_area: int = 10_000, max_aspect: float = 5.0) -> list[tuple[str, Column]]:
-    """The pre-filter rules: a phrase in the context, a tiny picture, an extreme aspect ratio."""
+    """The pre-filter rules: a phrase in the context, a tiny picture, an extreme aspect ratio (a side of 0 is extreme)."""
     said = F.lit(False)
     for p in phrases:
         said = said | F.contains(context, F.lit(p))
-    aspect = F.greatest(width, height) / F.least(width, height)
-    return [("phrase", said), ("tiny", width * height < min_area), ("aspect", aspect > max_aspect)]
+    short = F.least(width, height)
+    aspect = F.coalesce(F.try_divide(F.greatest(width, height), short) > max_aspect, short == 0)
+    return [("phrase", said), ("tiny", width * height < min_area), ("aspect", aspect)]
 
 
 def health(docs: DataFrame, text: str = "text", min_chars: int = 50, many_lines: int = 10, max_short: float = 0.6) -> DataFrame:
