@@ -37,3 +37,8 @@ def test_cluster_representative_leaves_out_null_texts(spark, folder):
 def test_prefilter_gated_rules_with_empty_texts(spark, folder):
     got, want = both(spark, folder, "prefilter_gated_rules")
     assert got == want and (0, "tiny", "tiny", "phrase") in got
+
+
+def test_prefilter_report_with_empty_texts(spark, folder):
+    got, want = both(spark, folder, "prefilter_report")
+    assert got == want and len(got) == 3
