@@ -5,6 +5,8 @@ Blocks have doc_id, page_index, block_order, block_id, type, level, bbox, text.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -29,17 +31,19 @@ def is_caption(kind: Column, text: Column) -> Column:
     return kind.isin(*CAPTION_TYPES) | F.coalesce(text, F.lit("")).rlike(r"(?iU)^(图|表|figure|table)\s*\d")
 
 
-def heading_parents(blocks: DataFrame) -> DataFrame:
+def heading_parents(blocks: DataFrame, levels: Sequence[int] | None = None) -> DataFrame:
     """block_id, parent_id, inferred: the latest earlier heading of a lower level; for other blocks the latest heading.
 
     The parent of a heading of level L is the last heading before it with a level under L, which is what a stack of
-    open headings gives; so one running `last` for each level that occurs and a greatest position do it.
+    open headings gives; so one running `last` for each level that occurs and a greatest position do it. `levels`, where
+    known to hold all that occur, save a pass over the blocks.
     """
     w0 = W.partitionBy("doc_id").orderBy("page_index", "block_order")
     before = w0.rowsBetween(W.unboundedPreceding, -1)
     head = F.col("type") == "heading"
-    given = {r["level"] for r in blocks.filter(head & F.col("level").isNotNull()).select("level").distinct().collect()}  # a row for each level in use
-    levels = sorted(given | {1, 2})
+    if levels is None:
+        levels = [r["level"] for r in blocks.filter(head & F.col("level").isNotNull()).select("level").distinct().collect()]  # a row for each level in use
+    levels = sorted({*levels, 1, 2})
     rows = blocks.withColumn("pos", F.row_number().over(w0)).withColumn("earlier", F.coalesce(F.max(head.cast("int")).over(before), F.lit(0)))
     guess = F.when(F.col("text").rlike("^第.+章|(?i)^chapter"), 1).when(F.col("text").rlike("^第.+节|^\\d+\\.\\d+"), 2).when(F.col("earlier") == 0, 1).otherwise(2)
     rows = rows.withColumns({"inferred": head & F.col("level").isNull(), "lvl": F.when(head, F.coalesce("level", guess))})
@@ -120,34 +124,42 @@ def paired_images_or_stems(markdown: DataFrame, layout: DataFrame) -> DataFrame:
     """doc_id, line_no, block_id: Markdown images in turn with the first unused visual of their path, else of their stem.
 
     markdown: doc_id, target, line_no and, where a line holds several, k. layout: doc_id, path, asset_id, block_id, page_index, block_order. Both passes share
-    what is used, so a document is one task of its own images.
+    what is used, so a document is one row with its own images; a worker takes many such rows at a time.
     """
-    import pandas as pd
-
-    names = lambda df, target: df.withColumns({"doc_id": F.col("doc_id").alias("doc_id"), "_p": T.image_identity(F.col(target))["path"], "_s": T.image_identity(F.col(target))["stem"]})
+    import pyarrow as pa
 
-    def pair(_: tuple, images: pd.DataFrame, visuals: pd.DataFrame) -> pd.DataFrame:
+    def matched(images: list[dict], visuals: list[dict]) -> Iterator[tuple[int, str]]:
         waiting: dict[tuple[str, str], list[str]] = {}
-        for v in visuals.sort_values(["page_index", "block_order"], ascending=False).to_dict("records"):
-            for name in (("path", v["_p"]), ("stem", v["_s"] or v["asset_id"])):
+        for v in reversed(visuals):
+            for name in (("path", v["p"]), ("stem", v["s"] or v["asset_id"])):
                 if name[1]:
                     waiting.setdefault(name, []).append(v["block_id"])
-        used, rows = set(), []
-        for m in images.sort_values(["line_no", "k"]).to_dict("records"):
-            for name in (("path", m["_p"]), ("stem", m["_s"])):
+        used = set()
+        for m in images:
+            for name in (("path", m["p"]), ("stem", m["s"])):
                 queue = waiting.get(name, [])
                 while queue and queue[-1] in used:
                     queue.pop()
                 if queue:
                     used.add(queue[-1])
-                    rows.append((m["doc_id"], m["line_no"], queue.pop()))
+                    yield m["line_no"], queue.pop()
                     break
-        return pd.DataFrame(rows, columns=["doc_id", "line_no", "block_id"])
+
+    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            docs, images, visuals = (part.column(n).to_pylist() for n in ("doc_id", "images", "visuals"))
+            rows = [(d, *m) for d, i, v in zip(docs, images, visuals, strict=True) for m in matched(i, v)]
+            kinds = part.schema.field("doc_id").type, pa.int32(), pa.string()
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], ["doc_id", "line_no", "block_id"])
 
     kind = markdown.schema["doc_id"].dataType.simpleString()
     place = F.col("k") if "k" in markdown.columns else F.lit(0).alias("k")
-    left, right = names(markdown.select("doc_id", "target", "line_no", place), "target"), names(layout.select("doc_id", F.coalesce("path", F.lit("")).alias("path"), "asset_id", "block_id", "page_index", "block_order"), "path")
-    return left.groupBy("doc_id").cogroup(right.groupBy("doc_id")).applyInPandas(pair, f"doc_id {kind}, line_no int, block_id string")
+    name = lambda target: (T.image_identity(F.col(target))["path"].alias("p"), T.image_identity(F.col(target))["stem"].alias("s"))
+    folded = lambda df, out, *cols: df.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct(*cols))).alias(out))
+    left = folded(markdown.select("doc_id", "line_no", place, *name("target")), "images", "line_no", "k", "p", "s")
+    right = layout.withColumn("path", F.coalesce("path", F.lit(""))).select("doc_id", "page_index", "block_order", *name("path"), "asset_id", "block_id")
+    right = folded(right, "visuals", "page_index", "block_order", "p", "s", "asset_id", "block_id")
+    return left.join(right, "doc_id").mapInArrow(pair, f"doc_id {kind}, line_no int, block_id string")
 
 
 def image_anchors(images: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -233,14 +245,16 @@ def align(docs: DataFrame, layout: DataFrame, visuals: DataFrame) -> dict[str, D
 
     docs: doc_id (unique), text (null: no Markdown). layout: doc_id, layout_chars, layout_text_blocks. visuals: doc_id, ord, block_id,
     page_index, page_number, path, asset_id. summary has a row a document; blocks and relations those of active ones. Documents that do
-    not call for it are left out before images are matched.
+    not call for it are left out before images are matched. Images, numbers of documents and the blocks of active ones are
+    written once each, whatever reads them.
     """
     blocks, images = segment.markdown_blocks(docs)
+    images = materialize(images)
     each = docs.select("doc_id", T.text_chars(F.col("text")).alias("markdown_chars")).join(layout, "doc_id", "left")
     each = each.join(images.groupBy("doc_id").agg(F.count(F.lit(1)).alias("markdown_images")), "doc_id", "left")
     each = each.join(visuals.groupBy("doc_id").agg(F.count(F.lit(1)).alias("layout_images")), "doc_id", "left")
-    each = each.fillna(0, ["layout_chars", "layout_text_blocks", "markdown_images", "layout_images"]).withColumn("layout_blocks", F.col("layout_text_blocks") + F.col("layout_images"))
-    asks = materialize(alignment_status(each.withColumn("matched", F.lit(1))).filter("status = 'active'").select("doc_id"))
+    each = materialize(each.fillna(0, ["layout_chars", "layout_text_blocks", "markdown_images", "layout_images"]).withColumn("layout_blocks", F.col("layout_text_blocks") + F.col("layout_images")))
+    asks = alignment_status(each.withColumn("matched", F.lit(1))).filter("status = 'active'").select("doc_id")
     placed = visuals.select("doc_id", "block_id", "page_index", "page_number", "path", "asset_id", F.col("ord").alias("block_order")).join(asks, "doc_id", "left_semi")
     met = paired_images_or_stems(images.join(asks, "doc_id", "left_semi"), placed.withColumn("page_index", F.lit(0)))
     met = materialize(met.join(placed.select("doc_id", "block_id", "page_index", "page_number"), ["doc_id", "block_id"]))
@@ -250,13 +264,13 @@ def align(docs: DataFrame, layout: DataFrame, visuals: DataFrame) -> dict[str, D
     reason = F.when(F.col("status") != "not_needed", F.col("status")).when(F.col("markdown_chars") < 200, "short").when(F.col("coverage") >= 0.20, "covered").otherwise("structured")
     told = F.create_map(*[F.lit(x) for pair in ALIGNMENT_REASONS.items() for x in pair])
     parts = met.select("doc_id").distinct()
-    used = blocks.join(parts, "doc_id", "left_semi")
+    used = materialize(blocks.join(parts, "doc_id", "left_semi"))
     summary = summary.join(used.groupBy("doc_id").agg(F.count(F.lit(1)).alias("synthetic_blocks")), "doc_id", "left").fillna(0, ["synthetic_blocks"])
     summary = summary.withColumns({"reason": told[reason], "coverage": F.when(F.col("status") == "missing_markdown", 0.0).otherwise(F.col("coverage")), "markdown_chars": F.coalesce("markdown_chars", F.lit(0)), "markdown_only": F.when(open_, F.col("markdown_images") - F.col("matched")).otherwise(0), "layout_only": F.when(open_, F.col("layout_images") - F.col("matched")).otherwise(0), "synthetic_blocks": F.when(live, F.col("synthetic_blocks")).otherwise(0)})
     warn = lambda name, n: F.when(F.col(n) > 0, F.concat(F.lit(f"unmatched_{name}_images:"), F.col(n).cast("string")))
     summary = summary.withColumn("warnings", F.array_compact(F.array(warn("markdown", "markdown_only"), warn("layout", "layout_only"))))
     tree = used.select("doc_id", F.lit(0).alias("page_index"), F.col("first_line").alias("block_order"), "block_id", F.col("block_type").alias("type"), F.col("heading_level").alias("level"), "text")
-    up = _edges(heading_parents(tree).filter(F.col("parent_id").isNotNull()), "parent_heading", "block_id", "parent_id", F.lit(1.0), "markdown_heading_level", F.lit("confirmed"))
+    up = _edges(heading_parents(tree, range(1, 7)).filter(F.col("parent_id").isNotNull()), "parent_heading", "block_id", "parent_id", F.lit(1.0), "markdown_heading_level", F.lit("confirmed"))
     marks = met.select("doc_id", "line_no", F.col("block_id").alias("visual_id"))
     to = image_anchors(marks.select("doc_id", "line_no"), used.select("doc_id", "block_id", F.col("block_type").alias("type"), "first_line", "last_line")).join(marks, ["doc_id", "line_no"])
     tied = _edges(to, "attached_to", "visual_id", "target_id", F.lit(0.85), "markdown_image_anchor", F.lit("suggested"))

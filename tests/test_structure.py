@@ -81,3 +81,15 @@ def test_pdf(spark):
     row = render.render_pdf(lines).first()
     assert bytes(row["pdf"]).startswith(b"%PDF-1.4") and b"Title ?" in bytes(row["pdf"]) and bytes(row["pdf"]).endswith(b"%%EOF\n")
     assert render.validation(lines).first()["status"] == "blocked"
+
+
+def test_paired_images_of_many_documents(spark):
+    import time
+
+    n = 6000
+    images = spark.range(n).selectExpr("id AS doc_id", "explode(array(1, 2, 3)) AS line_no").selectExpr("doc_id", "line_no", "CASE line_no WHEN 1 THEN 'x/a.png' WHEN 2 THEN 'x/a.png' ELSE concat('b', doc_id % 2, '.png') END AS target")
+    visuals = spark.range(n).selectExpr("id AS doc_id", "explode(array(0, 1)) AS block_order").selectExpr("doc_id", "CASE block_order WHEN 0 THEN './x/a.png' END AS path", "CASE block_order WHEN 1 THEN 'b0' END AS asset_id", "concat('v', block_order) AS block_id", "0 AS page_index", "block_order")
+    start = time.monotonic()
+    got = sorted(map(tuple, structure.paired_images_or_stems(images, visuals).collect()))
+    assert time.monotonic() - start < 30
+    assert got == sorted([(d, 1, "v0") for d in range(n)] + [(d, 3, "v1") for d in range(0, n, 2)])
