@@ -147,6 +147,56 @@ def hamming_pairs(hashes: DataFrame, key: str, bits: str, limit: int, words: int
     return met.select(F.col("l.id").alias("a"), F.col("r.id").alias("b"), d.alias("distance"))
 
 
+def near_forest(hashes: DataFrame, key: str, bits: str, limit: int, words: int = 1, block: int = 8192) -> DataFrame:
+    """(a, b): pairs of keys that connect what all pairs within `limit` connect, and fewer of them; exact.
+
+    All pairs are compared, since near hashes of this radius share no key that would keep most others away. Keys with equal
+    bits are joined to the least of them first. The other hashes are dealt by value into groups of about `block`; each pair
+    of groups is one row of work, compares packed words in slices and returns a spanning forest of what it found, which has
+    fewer edges than the two groups have hashes. A worker holds two groups; no group is on the driver.
+    """
+    import numpy as np
+    import pandas as pd
+
+    word = [F.get(bits, w).alias(f"w{w}") for w in range(words)]
+    names = [f"w{w}" for w in range(words)]
+    rows = hashes.select(F.col(key).alias("id"), *word)
+    lone = materialize(rows.groupBy(*names).agg(F.min("id").alias("first")))
+    same = rows.join(lone, names).filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
+    n = max(1, -(-lone.count() // block))
+    group = F.pmod(F.xxhash64(*names), F.lit(n)).cast("int")
+    folded = lone.select("first", *names, group.alias("g")).groupBy("g").agg(F.collect_list(F.struct("first", *names)).alias("rows"))
+    folded = materialize(folded.select("g", F.col("rows.first").alias("ids"), *[F.col(f"rows.{w}").alias(w) for w in names]))
+    left = folded.select(*[F.col(c).alias(f"l_{c}") for c in folded.columns])
+    # a group meets each group from its own on: pairs of numbers first, dealt out, then the rows of both
+    pairs = folded.sparkSession.range(n).select(F.col("id").cast("int").alias("l_g"), F.explode(F.sequence(F.col("id").cast("int"), F.lit(n - 1))).alias("g"))
+    work = pairs.join(left, "l_g").join(folded, "g").repartition(max(1, min(2000, n * (n + 1) // 2)), "l_g", "g")
+
+    def compare(batches):
+        for part in batches:
+            for row in part.to_dict("records"):
+                x, y = row["l_ids"], row["ids"]
+                own = row["l_g"] == row["g"]
+                p, q = (np.stack([np.asarray(row[side + w], np.int64).view(np.uint64) for w in names], 1) for side in ("l_", ""))
+                tree, shift = np.arange(len(x) + (0 if own else len(y))), 0 if own else len(x)
+                kept: list[tuple[int, int]] = []
+                for at in range(0, len(x), 256):
+                    far = np.zeros((len(p[at : at + 256]), len(q)), np.uint16)
+                    for w in range(words):
+                        far += np.bitwise_count(p[at : at + 256, w, None] ^ q[None, :, w])
+                    near = far <= limit
+                    for i in np.flatnonzero(near.any(axis=1)):
+                        js = np.flatnonzero(near[i])
+                        for other, j in zip(*np.unique(tree[js + shift], return_index=True), strict=True):
+                            if other != tree[at + i]:
+                                tree[tree == other] = tree[at + i]
+                                kept.append((x[at + i], y[js[j]]))
+                yield pd.DataFrame(kept, columns=["a", "b"])
+
+    kind = hashes.schema[key].dataType.simpleString()
+    return same.unionByName(work.mapInPandas(compare, f"a {kind}, b {kind}"))
+
+
 def clusters(nodes: DataFrame, key: str, pairs: DataFrame) -> DataFrame:
     """key, cluster: the least key of each connected component; every node has a row.
 

@@ -272,13 +272,13 @@ REACH_SQL = f"WITH RECURSIVE {PAIR_SQL}, e AS (SELECT a AS u, b AS v FROM q UNIO
 @query(REACH_SQL + " SELECT vec_id, cluster FROM label")
 def hamming_components(spark, d):
     hashes = _hashes(spark, d)
-    return media.clusters(hashes, "vec_id", media.hamming_pairs(hashes, "vec_id", "bits", HAMMING_LIMIT))
+    return media.clusters(hashes, "vec_id", media.near_forest(hashes, "vec_id", "bits", HAMMING_LIMIT))
 
 
 @query(REACH_SQL + " SELECT cluster, count(*) AS members FROM label GROUP BY 1 HAVING count(*) >= 3")
 def template_clusters(spark, d):
     hashes = _hashes(spark, d)
-    found = media.clusters(hashes, "vec_id", media.hamming_pairs(hashes, "vec_id", "bits", HAMMING_LIMIT))
+    found = media.clusters(hashes, "vec_id", media.near_forest(hashes, "vec_id", "bits", HAMMING_LIMIT))
     return found.groupBy("cluster").agg(F.count(F.lit(1)).alias("members")).filter("members >= 3")
 
 

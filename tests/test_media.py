@@ -51,3 +51,18 @@ def test_holding_takes_linear_time_in_a_text(spark):
     start = time.monotonic()
     assert [r["item_id"] for r in media.holding(docs, phrases, "text", "phrase").collect()] == [1]
     assert time.monotonic() - start < 60
+
+
+def test_near_forest_connects_what_all_pairs_connect(spark):
+    random.seed(11)
+    signed = lambda n: n - (1 << 64) if n >= 1 << 63 else n
+    base = [[random.getrandbits(64) for _ in range(2)] for _ in range(6)]
+    flips = lambda x: [w ^ sum(1 << b for b in random.sample(range(64), random.choice([0, 3, 9]))) for w in x]
+    raw = [flips(random.choice(base)) for _ in range(150)] + [base[0]] * 20
+    hashes = spark.createDataFrame([(k, [signed(w) for w in x]) for k, x in enumerate(raw)], "id long, bits array<long>")
+    for block in (7, 1000):
+        got = media.near_forest(hashes, "id", "bits", 12, words=2, block=block)
+        pairs = media.hamming_pairs(hashes, "id", "bits", 12, words=2)
+        label = lambda edges: {r["id"]: r["cluster"] for r in media.clusters(hashes, "id", edges).collect()}
+        assert label(got) == label(pairs)
+        assert block < 1000 or got.count() < len(raw) < pairs.count()
