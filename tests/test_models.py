@@ -144,3 +144,11 @@ def test_upload_hides_the_token(tmp_path):
         service.request_upload([])
     with pytest.raises(cloud.AuthError):
         cloud.Service("", "http://host")
+
+
+def test_hybrid_reads_the_rules_from_the_texts_once(spark):
+    figures = spark.createDataFrame([(1, "AB 平行", ""), (2, "nothing here", "")], "figure_id long, text string, caption string").withColumn("content", F.lit(b"x"))
+    answer = '{"relations": [{"type": "parallel", "entities": ["cd"], "confidence": 0.6}], "observations": []}'
+    rels, _ = models.hybrid(figures, lambda c, p: answer, "", retries=0)
+    assert sorted((r["figure_id"], r["key"]) for r in rels.collect()) == [(1, "parallel::ab"), (2, "parallel::cd")]
+    assert "RLIKE" not in rels._jdf.queryExecution().optimizedPlan().toString()
